@@ -28,12 +28,10 @@ class Match:
 
 def measure(tables: Sequence[DataFrame]) -> list[int]:
     """Bytes held by each table, counted in one job."""
-    sums = [
-        table.agg(F.coalesce(F.sum(row_bytes(table)), F.lit(0)).alias("bytes")).select(F.lit(i).alias("i"), "bytes")
-        for i, table in enumerate(tables)
-    ]
-    found = {row["i"]: row["bytes"] for row in reduce(DataFrame.union, sums).collect()}
-    return [found[i] for i in range(len(tables))]
+    sizes = [table.select(F.lit(i).alias("table"), row_bytes(table).alias("bytes")) for i, table in enumerate(tables)]
+    sums = reduce(DataFrame.union, sizes).groupBy("table").agg(F.sum("bytes").alias("bytes"))
+    found = {row["table"]: row["bytes"] for row in sums.collect()}
+    return [found.get(i, 0) for i in range(len(tables))]
 
 
 def attach(

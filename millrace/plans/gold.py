@@ -36,7 +36,7 @@ def publish_gold(
             jobs.append(partial(writer.saveAsTable, f"{database}.{spec.table}"))
         else:
             jobs.append(partial(store.write_gold, key, rows))
-    write_all(jobs)
+    write_all(store.spark, jobs)
     return names
 
 

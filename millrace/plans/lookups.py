@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.distinct import LEVELS, distinct_names
-from millrace.operators.joins import Match, attach
 from millrace.operators.keys import dense_key
-from millrace.registry import BY_NAME, BY_PATH, LOOKUPS, check_mode, with_ancestors
+from millrace.registry import BY_NAME, BY_PATH, LOOKUPS, LookupSpec, check_mode, with_ancestors
 from millrace.session import materialize
 
 
@@ -36,42 +35,52 @@ def build_lookups(
         names = _spread_cities(materialize(distinct_names(records, paths), "names"))
     else:
         names = distinct_names(records, paths)
-    numbered = materialize(dense_key(names, LEVELS, "id", within=["lookup"]), "lookups")
-    return {key: _table(numbered, key) for key in keys}
+    numbered = materialize(_with_parent_id(dense_key(names, LEVELS, "id", within=["lookup"]), keys), "lookups")
+    return {key: _table(numbered, LOOKUPS[key]) for key in keys}
 
 
 def _spread_cities(names: DataFrame) -> DataFrame:
     """Complete the (city, state) pairs with each country that has a state of that name."""
     is_city = F.col("lookup") == "city"
     states = names.where(F.col("lookup") == "state_provinces").select(
-        F.col("name").alias("state"), F.col("parent").alias("country")
+        F.col("name").alias("parent"), F.col("parent").alias("grandparent")
     )
-    cities = attach(
-        names.where(is_city).drop("grandparent"), [Match(states, {"parent": "state"})], "inner"
-    ).select("lookup", "name", "parent", F.col("country").alias("grandparent"))
-    return names.where(~is_city).union(cities)
+    cities = names.where(is_city).drop("grandparent").join(states, "parent")
+    return names.where(~is_city).union(cities.select(*names.columns))
 
 
-def _table(numbered: DataFrame, key: str) -> DataFrame:
-    spec = LOOKUPS[key]
-    rows = numbered.where(F.col("lookup") == key)
+def _with_parent_id(numbered: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the id of the row one level up, for all hierarchies in one join."""
+    parents = {key: LOOKUPS[key].parent for key in keys if LOOKUPS[key].parent}
+    if not parents:
+        return numbered.withColumn("parent_id", F.lit(None).cast("bigint"))
+    parent_of = F.create_map(*[F.lit(key) for pair in parents.items() for key in pair])
+    above = numbered.select(
+        F.col("lookup").alias("above_lookup"),
+        F.col("name").alias("above_name"),
+        F.col("parent").alias("above_parent"),
+        F.col("id").alias("parent_id"),
+    ).where(F.col("above_lookup").isin(*set(parents.values())))
+    same_path = [
+        F.try_element_at(parent_of, F.col("lookup")) == F.col("above_lookup"),
+        F.col("parent") == F.col("above_name"),
+        F.col("grandparent").eqNullSafe(F.col("above_parent")),
+    ]
+    return numbered.join(above, same_path, "left").drop("above_lookup", "above_name", "above_parent")
+
+
+def _table(numbered: DataFrame, spec: LookupSpec) -> DataFrame:
+    columns = [F.col("id").cast(spec.id_type).alias(spec.id), F.col("name").alias(spec.name)]
     if spec.parent:
-        on = dict(zip(LEVELS[1:], LEVELS[: len(spec.ancestry) - 1]))
-        parents = numbered.where(F.col("lookup") == spec.parent).select(
-            F.col("id").cast(LOOKUPS[spec.parent].id_type).alias(LOOKUPS[spec.parent].id),
-            *[F.col(level).alias(f"of_{level}") for level in on.values()],
-        )
-        rows = attach(rows, [Match(parents, {own: f"of_{level}" for own, level in on.items()})], "inner")
-    named = rows.withColumn(spec.id, F.col("id").cast(spec.id_type)).withColumnRenamed("name", spec.name)
-    return named.select(*spec.columns)
+        above = LOOKUPS[spec.parent]
+        columns.append(F.col("parent_id").cast(above.id_type).alias(above.id))
+    return numbered.where(F.col("lookup") == spec.key).select(*columns)
 
 
 def lookup_paths(lookups: dict[str, DataFrame], key: str) -> DataFrame:
-    """The lookup with its ancestors' names joined on: the full path of each row."""
+    """The lookup with its ancestors' rows joined on: the names of its full path."""
     rows, parent = lookups[key], LOOKUPS[key].parent
     while parent:
-        parent_id = LOOKUPS[parent].id
-        above = lookups[parent].withColumnRenamed(parent_id, "_parent_id")
-        rows = attach(rows, [Match(above, {parent_id: "_parent_id"})], "inner")
+        rows = rows.join(lookups[parent], LOOKUPS[parent].id)
         parent = LOOKUPS[parent].parent
     return rows

@@ -38,7 +38,7 @@ def build_silver(store: Store, mode: str = BY_PATH, as_of: Stamp = None) -> None
         as_of = datetime.datetime.now()
     bronze = store.read_bronze()
     built = build_lookups(bronze, mode=mode)
-    write_all(partial(store.write_silver, key, table) for key, table in built.items())
+    write_all(store.spark, [partial(store.write_silver, key, table) for key, table in built.items()])
     lookups = {key: store.read_silver(key) for key in LOOKUPS}
     builders = {
         "addresses": partial(build_addresses, mode=mode),
@@ -47,7 +47,8 @@ def build_silver(store: Store, mode: str = BY_PATH, as_of: Stamp = None) -> None
         "transactions": build_transactions,
     }
     write_all(
-        partial(_write_entity, store, key, builder, bronze, lookups, as_of) for key, builder in builders.items()
+        store.spark,
+        [partial(_write_entity, store, key, builder, bronze, lookups, as_of) for key, builder in builders.items()],
     )
 
 

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from millrace.registry import LANDING_TYPES
 
-STAR_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
+STAR_TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+}
 
 
 def retail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +27,7 @@ def retail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     some incomes, payment and shipping methods are NULL.
     """
     line, order, customer, nation, region, part = (
-        spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in STAR_TABLES
+        spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet") for name, schema in STAR_TABLES.items()
     )
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     buyers = customer.join(places, customer.c_nationkey == places.n_nationkey)

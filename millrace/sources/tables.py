@@ -6,8 +6,8 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.registry import BRONZE_PATH, GOLD_PATH, LANDING_PATH, SILVER_PATH, TABLES
 
@@ -68,8 +68,9 @@ def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None
     writer.csv(path)
 
 
-def write_all(jobs: Iterable[Callable[[], None]]) -> None:
+def write_all(spark: SparkSession, jobs: Iterable[Callable[[], None]]) -> None:
     """Run independent writes side by side, so small ones do not leave the cluster idle."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(_WRITES_AT_ONCE) as pool:
-        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+        for done in [pool.submit(inherit(job)) for job in jobs]:
             done.result()

@@ -8,12 +8,19 @@ from millrace.sources.landing import landing_schema
 from millrace.sources.tables import Store
 
 
-def stream_landing(store: Store, progress: str, landing: str | None = None) -> DataFrame:
+FILES_PER_BATCH = 1000
+
+
+def stream_landing(
+    store: Store, progress: str, landing: str | None = None, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
     """Merge the landing files not merged before into bronze, each exactly once, then stop.
 
     `progress` holds the stream's checkpoint and must stay with the bronze
     table it belongs to. Records are independent here, so the stream keeps no
-    state and a run costs only the files that are new.
+    state and a run costs only the files that are new. A backlog is worked off
+    in batches of `files_per_batch`, each committed on its own, so a run that is
+    interrupted resumes after the last finished batch.
     """
     landing = landing or store.landing
     records = (
@@ -21,6 +28,7 @@ def stream_landing(store: Store, progress: str, landing: str | None = None) -> D
         .option("header", True)
         .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", files_per_batch)
         .csv(landing)
     )
     query = (
