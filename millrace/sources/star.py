@@ -18,6 +18,12 @@ STAR_TABLES = {
 }
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal an input with fewer splits than cores out to all cores by `key`; leave a larger one alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def retail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landing-shaped record per order line, with the columns of the landing files.
 
@@ -32,6 +38,7 @@ def retail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     buyers = customer.join(places, customer.c_nationkey == places.n_nationkey)
     placed = order.join(buyers, order.o_custkey == buyers.c_custkey)
+    line = spread(line, "l_orderkey")
     items = line.join(part, line.l_partkey == part.p_partkey)
     joined = items.join(placed, items.l_orderkey == placed.o_orderkey)
 
