@@ -29,6 +29,12 @@ class LookupSpec:
         own = (self.id, self.name)
         return own + (LOOKUPS[self.parent].id,) if self.parent else own
 
+    @property
+    def schema(self) -> str:
+        own = f"{self.id} {self.id_type}, {self.name} string"
+        above = LOOKUPS[self.parent] if self.parent else None
+        return f"{own}, {above.id} {above.id_type}" if above else own
+
     @property
     def ancestry(self) -> tuple[str, ...]:
         """Landing columns from this level up to the root of its hierarchy."""

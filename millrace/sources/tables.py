@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.registry import BRONZE_PATH, GOLD_PATH, LANDING_PATH, SILVER_PATH, TABLES
+from millrace.registry import BRONZE_PATH, GOLD_PATH, LANDING_PATH, LOOKUPS, SILVER_PATH, TABLES
 
 _WRITES_AT_ONCE = 4
 
@@ -42,10 +42,17 @@ class Store:
         return self.spark.read.parquet(self.bronze)
 
     def read_silver(self, key: str) -> DataFrame:
-        return self.spark.read.parquet(self.silver(key))
+        return self._read(key, self.silver(key))
 
     def read_gold(self, key: str) -> DataFrame:
-        return self.spark.read.parquet(self.gold(key))
+        return self._read(key, self.gold(key))
+
+    def _read(self, key: str, path: str) -> DataFrame:
+        """Lookup types are fixed by the registry, which spares a look at the footers."""
+        reader = self.spark.read
+        if key in LOOKUPS:
+            reader = reader.schema(LOOKUPS[key].schema)
+        return reader.parquet(path)
 
     def write_bronze(self, records: DataFrame, num_files: int | None = None) -> None:
         """Overwrite bronze. `num_files` gathers the output, which also narrows the write to that many tasks."""
