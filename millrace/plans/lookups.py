@@ -50,7 +50,10 @@ def _spread_cities(names: DataFrame) -> DataFrame:
 
 
 def _with_parent_id(numbered: DataFrame, keys: list[str]) -> DataFrame:
-    """Add the id of the row one level up, for all hierarchies in one join."""
+    """Add the id of the row one level up, for all hierarchies in one join.
+
+    Both sides keep every row, so that they share the work behind `numbered`.
+    """
     parents = {key: LOOKUPS[key].parent for key in keys if LOOKUPS[key].parent}
     if not parents:
         return numbered.withColumn("parent_id", F.lit(None).cast("bigint"))
@@ -60,7 +63,7 @@ def _with_parent_id(numbered: DataFrame, keys: list[str]) -> DataFrame:
         F.col("name").alias("above_name"),
         F.col("parent").alias("above_parent"),
         F.col("id").alias("parent_id"),
-    ).where(F.col("above_lookup").isin(*set(parents.values())))
+    )
     same_path = [
         F.try_element_at(parent_of, F.col("lookup")) == F.col("above_lookup"),
         F.col("parent") == F.col("above_name"),

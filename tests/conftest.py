@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("millrace-tests")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")

@@ -65,8 +65,8 @@ def test_only_requested_lookups_and_their_parents_are_built(records):
 def test_ids_do_not_depend_on_partitioning(records):
     raw = records(*[{"City": f"C{i % 17}", "State/Province": f"S{i % 5}", "Country": f"N{i % 2}"} for i in range(80)])
     for mode in (BY_NAME, BY_PATH):
-        once, again = (build_lookups(raw.repartition(n), mode=mode) for n in (1, 9))
-        for key in LOOKUPS:
+        once, again = (build_lookups(raw.repartition(n), ["city", "brand"], mode) for n in (1, 9))
+        for key in once:
             assert rows(once[key]) == rows(again[key]), key
 
 

@@ -29,7 +29,8 @@ def test_every_query_has_its_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
-    got = QUERIES[name](spark, SF_DIR).toArrow()
+    flagship = name == "gold_row_counts"
+    got = (spark_entry.entry(spark) if flagship else QUERIES[name](spark, SF_DIR)).toArrow()
     want = duck.sql(ORACLE[name]).to_arrow_table()
     columns = sorted(want.column_names)
     assert sorted(got.column_names) == columns
@@ -42,7 +43,3 @@ def test_query_equals_sql(spark, duck, name):
         extra = duck.sql(f"SELECT * FROM {left} EXCEPT ALL SELECT * FROM {right}").fetchall()
         assert extra == []
 
-
-def test_entry(spark):
-    df = spark_entry.entry(spark)
-    assert df.columns == ["table_name", "n"] and df.count() == 15
