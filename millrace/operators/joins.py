@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import row_bytes
 
+# Session setting for the largest table that is broadcast, and its default.
+BROADCAST_SETTING = "spark.millrace.broadcastBytes"
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
@@ -38,15 +40,17 @@ def attach(
     records: DataFrame,
     matches: Sequence[Match],
     how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join every match to `records` in turn.
 
-    A table within `broadcast_bytes` is broadcast and costs no shuffle. A larger
-    one is joined on its key and a salt, which spreads a hot key, and the
-    records without a key, over several tasks; adaptive skew handling splits
-    whatever is still uneven.
+    A table within `broadcast_bytes`, which is the session's setting unless
+    given, is broadcast and costs no shuffle. A larger one is joined on its key
+    and a salt, which spreads a hot key, and the records without a key, over
+    several tasks; adaptive skew handling splits whatever is still uneven.
     """
+    if broadcast_bytes is None:
+        broadcast_bytes = int(records.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     for match, size in zip(matches, measure([m.table for m in matches])):
         records = _join(records, match, how, small=size <= broadcast_bytes)
     return records

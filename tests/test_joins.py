@@ -1,7 +1,7 @@
 import pytest
 from conftest import rows
 
-from millrace.operators.joins import Match, attach, measure
+from millrace.operators.joins import BROADCAST_SETTING, Match, attach, measure
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +49,13 @@ def test_measure_counts_text_and_overhead(spark):
     empty = spark.createDataFrame([], "s string")
     a, b, none = measure([short, long, empty])
     assert b - a == 999 and none == 0
+
+
+def test_the_session_can_set_the_limit(spark, tables):
+    facts, names = tables
+    spark.conf.set(BROADCAST_SETTING, "0")
+    try:
+        out = attach(facts, [Match(names, {"k": "name"})])
+        assert "_salt" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(BROADCAST_SETTING)

@@ -55,6 +55,13 @@ def test_manifest_names_missing_empty_and_unexpected_files(spark, tmp_path, csv_
     assert [s for s, (_, status) in out.items() if status == "missing"] and len(out) == 11
 
 
+def test_manifest_of_an_empty_folder_and_of_odd_headers(spark, tmp_path, csv_file):
+    assert {r.status for r in landing_manifest(spark, str(tmp_path)).collect()} == {"missing"}
+    csv_file(tmp_path / "retail_data_3.csv", {}, {}, columns=("Name", "Time"))
+    out = {r.source: (r.rows, r.status) for r in landing_manifest(spark, str(tmp_path)).collect()}
+    assert out["retail_data_3.csv"] == (2, "present")
+
+
 def test_merge_survives_a_missing_file(spark, tmp_path, csv_file):
     for i in range(1, 10):
         csv_file(tmp_path / f"retail_data_{i}.csv", {"Transaction_ID": i})
