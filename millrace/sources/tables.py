@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.registry import BRONZE_PATH, GOLD_PATH, LANDING_PATH, LOOKUPS, SILVER_PATH, TABLES
 
-_WRITES_AT_ONCE = 4
+_WRITES_AT_ONCE = 8
 
 
 @dataclass(frozen=True)

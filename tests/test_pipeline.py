@@ -114,3 +114,25 @@ def test_core_tables_scan_narrow_and_do_not_shuffle(built, spark):
     plan = _plan(build_transactions(store.read_bronze(), lookups))
     assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
     assert "Email" not in plan and "products" not in plan
+
+
+def test_pipeline_over_inferred_types(spark, tmp_path, csv_file):
+    """Numbers, dates and numeric-looking names get other types by inference; the result is the same."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    csv_file(
+        landing / "a.csv",
+        {"Transaction_ID": 7, "City": 12, "Product_Type": 5, "Time": "2024-05-01 10:00:00"},
+        {"Transaction_ID": 6852899987, "City": 9, "Product_Type": 40, "Time": "2024-05-02 11:00:00"},
+    )
+    seen = []
+    for infer in (False, True):
+        base = tmp_path / str(infer)
+        run_pipeline(spark, str(base), str(landing), infer=infer).collect()
+        store = Store(spark, str(base))
+        seen.append({
+            key: rows(store.read_gold(key).drop("Transaction_DateTime", *AUDIT_COLUMNS)) for key in TABLES
+        })
+    assert seen[0] == seen[1]
+    assert [r[1] for r in seen[0]["city"]] == ["12", "9"]
+    assert sorted(r[0] is None for r in seen[0]["transactions"]) == [False, True]
