@@ -11,7 +11,8 @@ spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT,
 spark_entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(spark_entry)
 
-QUERIES, ORACLE = spark_entry.queries(), spark_entry.oracle_sql()
+from millrace.plans.oracle import ORACLE  # noqa: E402
+from millrace.plans.queries import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +28,12 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_all_are_registered():
+    registered = spark_entry.queries()
+    assert set(QUERIES) <= set(registered)
+    assert set(ORACLE) <= set(spark_entry.oracle_sql()) <= set(registered)
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
     flagship = name == "gold_row_counts"
