@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import read
+from millrace.llm.html_extract import extract
 from millrace.llm.language_id import fit, identify, remainder
 from millrace.llm.packing import pack_documents
 from millrace.llm.simhash_dedup import simhash_components
+from millrace.llm.sketch import fingerprint_edits
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.url_filter import judge_urls, rule_table
 
@@ -29,6 +31,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), PACK_VOCABULARY, END_ID)
 
@@ -41,6 +47,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), rule_table(spark, RULES))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = identify(docs, fit(docs.filter(remainder(4) != 2)))
@@ -49,9 +59,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_url_filter": op7_url_filter,
+    "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
 }
 
