@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.byte_bpe import digests, encode, read_ranks
 from millrace.llm.common import read
 from millrace.llm.html_extract import extract
 from millrace.llm.language_id import fit, identify, remainder
@@ -24,6 +25,7 @@ RULES = (
 
 PACK_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), rule_table(spark, RULES))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = read_ranks(RANKS)
+    return digests(encode(read(spark, sf_dir, "documents"), ranks), ranks)
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages"))
 
@@ -63,6 +70,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
 }
