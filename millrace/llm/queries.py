@@ -10,6 +10,7 @@ from millrace.llm.byte_bpe import digests, encode, read_ranks
 from millrace.llm.common import read
 from millrace.llm.html_extract import extract
 from millrace.llm.language_id import fit, identify, remainder
+from millrace.llm.lm_score import score, train
 from millrace.llm.packing import pack_documents
 from millrace.llm.simhash_dedup import simhash_components
 from millrace.llm.sketch import fingerprint_edits
@@ -25,6 +26,7 @@ RULES = (
 
 PACK_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -33,6 +35,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, remainder(10) != 0, PIECES))
+    held_out = F.coalesce(remainder(10) == 0, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(read(spark, sf_dir, "documents"))
 
@@ -66,6 +75,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_simhash_dedup": op6_simhash_dedup,
