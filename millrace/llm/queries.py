@@ -11,6 +11,7 @@ from millrace.llm.common import read
 from millrace.llm.html_extract import extract
 from millrace.llm.language_id import fit, identify, remainder
 from millrace.llm.lm_score import score, train
+from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack_documents
 from millrace.llm.simhash_dedup import simhash_components
 from millrace.llm.sketch import fingerprint_edits
@@ -35,6 +36,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = score(docs, train(docs, remainder(10) != 0, PIECES))
@@ -75,6 +80,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_lm_score": op3_lm_score,
     "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
