@@ -26,20 +26,20 @@ from millrace.llm.common import bucket_of, shuffle_partitions
 from millrace.session import materialize
 
 #: Neighbours kept for each node, and reverse neighbours a join looks at, the nearest first.
-DEGREE = 24
-REVERSE = 24
+DEGREE = 32
+REVERSE = 32
 #: Nodes of a leaf, about, and trees.
-LEAF = 800
-TREES = 4
+LEAF = 1000
+TREES = 6
 #: Vectors the trees' splits are set on, at most.
 SAMPLE = 8192
 #: Rounds of NN-descent.
 ROUNDS = 4
 #: Best nodes a query keeps, nodes it visits a round, and rounds.
-POOL = 160
-VISITS = (24, 40, 48, 48)
+POOL = 400
+VISITS = (32, 64, 96, 128, 160)
 #: Best nodes a query scores on the original vectors.
-RESCORED = 48
+RESCORED = 64
 
 _LIST = "bucket int, id long, nbr binary, score binary, fresh binary"
 
@@ -97,6 +97,11 @@ def _lists(bucket: int, owner, other, score, fresh) -> pa.Table:
     })
 
 
+def _least(lists: pa.Table) -> np.ndarray:
+    """The least score of each row's list; no list is empty."""
+    return np.array([np.frombuffer(s, dtype="<f4").min() for s in lists["score"].to_pylist()], dtype=np.float32)
+
+
 def _flat(lists: pa.Table):
     """The arrays `_lists` was made from."""
     nbr = lists["nbr"].to_pylist()
@@ -359,6 +364,8 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
 
     def visited_next(table: pa.Table, vectors: pa.Table, most: int) -> pa.Table:
         owner, other, score, fresh = _flat(table)
+        full = np.fromiter((len(n) >= 8 * POOL for n in table["nbr"].to_pylist()), dtype=bool, count=table.num_rows)
+        worst = dict(zip(table["id"].to_pylist(), np.where(full, _least(table), -2.0).tolist(), strict=True))
         new = fresh.astype(bool)
         owner, other, _, _ = _best(owner[new], other[new], score[new], fresh[new], most)
         ids = vectors["id"].to_numpy()
@@ -366,7 +373,8 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
         x = space.vectors(vectors).astype(np.float32)
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         row = order[np.searchsorted(ids[order], owner)]
-        return pa.table({"at": other, "query": owner, "vector": _packed(np.hstack([x, np.zeros((len(x), 1), np.float32)])[row])})
+        limit = np.array([worst[i] for i in owner.tolist()], dtype=np.float32)
+        return pa.table({"at": other, "query": owner, "worst": limit, "vector": _packed(np.hstack([x, np.zeros((len(x), 1), np.float32)])[row])})
 
     def look(near: pa.Table, asked: pa.Table) -> pa.Table:
         if not near.num_rows or not asked.num_rows:
@@ -375,17 +383,18 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
         order = np.argsort(at, kind="stable")
         at, ids, scale = at[order], ids[order], near["scale"].to_numpy()[order]
         x = _matrix(near["vector"], np.int8, width)[order]
-        q_at, query = asked["at"].to_numpy(), asked["query"].to_numpy()
+        q_at, query, worst = (asked[c].to_numpy() for c in ("at", "query", "worst"))
         q = _matrix(asked["vector"], np.float32, width)
         order = np.argsort(q_at, kind="stable")
-        q_at, query, q = q_at[order], query[order], q[order]
+        q_at, query, worst, q = q_at[order], query[order], worst[order], q[order]
         owner, other, score = [], [], []
         for a, b in _groups(q_at):
             lo, hi = np.searchsorted(at, q_at[a]), np.searchsorted(at, q_at[a], side="right")
             s = q[a:b] @ (x[lo:hi].astype(np.float32) * scale[lo:hi, None]).T
-            owner.append(np.repeat(query[a:b], hi - lo))
-            other.append(np.tile(ids[lo:hi], b - a))
-            score.append(s.ravel())
+            i, j = np.nonzero(s > worst[a:b, None])
+            owner.append(query[a + i])
+            other.append(ids[lo + j])
+            score.append(s[i, j])
         owner, other, score = np.concatenate(owner), np.concatenate(other), np.concatenate(score)
         return _lists(0, *_best(owner, other, score, np.ones(len(owner), dtype=np.int8), POOL))
 
@@ -407,7 +416,7 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
     pool = materialize(pool.withColumn("bucket", bucket_of(buckets, "id")), "pool")
     for most in (1, *VISITS):
         asked = pool.groupBy("bucket").cogroup(queries.groupBy("bucket")).applyInArrow(
-            visits(most), "at long, query long, vector binary"
+            visits(most), "at long, query long, worst float, vector binary"
         ).withColumn("bucket", bucket_of(buckets, "at"))
         found = near.cogroup(asked.groupBy("bucket")).applyInArrow(look, _LIST)
         found = found.withColumn("bucket", bucket_of(buckets, "id"))
