@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from millrace.registry import AUDIT_COLUMNS
 
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
-_WHOLE_PART = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+_NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d{1,3})?)\s*$"
 
 
 def int_or_null(df: DataFrame, name: str) -> Column:
@@ -22,7 +22,7 @@ def int_or_null(df: DataFrame, name: str) -> Column:
     """
     value = df[name]
     if isinstance(df.schema[name].dataType, T.StringType):
-        value = F.nullif(F.regexp_extract(value, _WHOLE_PART, 1), F.lit("")).cast("double")
+        value = F.nullif(F.regexp_extract(value, _NUMBER, 1), F.lit("")).cast("double")
     fits = (value > F.lit(_INT_MIN - 1)) & (value < F.lit(_INT_MAX + 1))
     return F.when(fits, value).cast("int").alias(name)
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import row_bytes
@@ -44,15 +44,22 @@ def attach(
 ) -> DataFrame:
     """Join every match to `records` in turn.
 
-    A table within `broadcast_bytes`, which is the session's setting unless
-    given, is broadcast and costs no shuffle. A larger one is joined on its key
-    and a salt, which spreads a hot key, and the records without a key, over
-    several tasks; adaptive skew handling splits whatever is still uneven.
+    `how` is left or inner; joins that keep unmatched table rows would depend on
+    how the table is dealt out. Tables are broadcast, which costs no shuffle, as
+    long as all of them together stay within `broadcast_bytes`, the session's
+    setting unless given. A further one is joined on its key and a salt, which
+    spreads a hot key over several tasks; records without a key, which can't
+    match, are spread over all. Adaptive skew handling splits what is still uneven.
     """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be left or inner, not {how}")
     if broadcast_bytes is None:
         broadcast_bytes = int(records.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
+    left = broadcast_bytes
     for match, size in zip(matches, measure([m.table for m in matches])):
-        records = _join(records, match, how, small=size <= broadcast_bytes)
+        small = size <= left
+        left -= size if small else 0
+        records = _join(records, match, how, small)
     return records
 
 
@@ -63,7 +70,11 @@ def _join(records: DataFrame, match: Match, how: str, small: bool) -> DataFrame:
     if small:
         joined = records.join(F.broadcast(table), conditions, how)
     else:
-        salt = F.pmod(F.xxhash64(*[records[c] for c in records.columns]), F.lit(SALTS)).cast("int")
+        spread = F.xxhash64(*[records[c] for c in records.columns])
+        partitions = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        no_key = reduce(Column.__or__, [F.col(column).isNull() for column in match.on])
+        # the table holds no negative salts, and needs none for keys that are NULL
+        salt = F.when(no_key, -1 - F.pmod(spread, F.lit(4 * partitions))).otherwise(F.pmod(spread, F.lit(SALTS))).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         joined = records.withColumn("_salt", salt).join(
             table.withColumn("_copy", copies), [*conditions, F.col("_salt") == F.col("_copy")], how

@@ -129,8 +129,10 @@ def build_transactions(records: DataFrame, lookups: dict[str, DataFrame], as_of:
 
 def customer_dim(records: DataFrame, lookups: dict[str, DataFrame], as_of: Stamp = None) -> DataFrame:
     """One row per distinct customer description."""
+    # repeats go before the lookups are joined; casts may make more rows equal
+    sources = ["Customer_ID", "Name", "Email", "Phone", "Age", "Gender", "Income", "Customer_Segment"]
     return (
-        build_customers(records, lookups, as_of)
+        build_customers(records.select(*sources).distinct(), lookups, as_of)
         .drop(*AUDIT_COLUMNS)
         .distinct()
         .select("*", *audit_columns(as_of))

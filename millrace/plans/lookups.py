@@ -52,13 +52,16 @@ def _spread_cities(names: DataFrame) -> DataFrame:
 def _with_parent_id(numbered: DataFrame, keys: list[str]) -> DataFrame:
     """Add the id of the row one level up, for all hierarchies in one join.
 
-    Both sides keep every row, so that they share the work behind `numbered`.
+    Only rows that have a parent are joined, and only with rows that can be one;
+    the others, all flat lookups among them, take no part.
     """
     parents = {key: LOOKUPS[key].parent for key in keys if LOOKUPS[key].parent}
     if not parents:
         return numbered.withColumn("parent_id", F.lit(None).cast("bigint"))
+    numbered = materialize(numbered, "numbered")
+    below = F.col("lookup").isin(list(parents))
     parent_of = F.create_map(*[F.lit(key) for pair in parents.items() for key in pair])
-    above = numbered.select(
+    above = numbered.where(F.col("lookup").isin(sorted(set(parents.values())))).select(
         F.col("lookup").alias("above_lookup"),
         F.col("name").alias("above_name"),
         F.col("parent").alias("above_parent"),
@@ -69,7 +72,9 @@ def _with_parent_id(numbered: DataFrame, keys: list[str]) -> DataFrame:
         F.col("parent") == F.col("above_name"),
         F.col("grandparent").eqNullSafe(F.col("above_parent")),
     ]
-    return numbered.join(above, same_path, "left").drop("above_lookup", "above_name", "above_parent")
+    joined = numbered.where(below).join(above, same_path, "left")
+    roots = numbered.where(~below).withColumn("parent_id", F.lit(None).cast("bigint"))
+    return joined.drop("above_lookup", "above_name", "above_parent").unionByName(roots)
 
 
 def _table(numbered: DataFrame, spec: LookupSpec) -> DataFrame:

@@ -179,6 +179,8 @@ ORACLE: dict[str, str] = {
     "csv_roundtrip": _with({"raw": RAW}, LANDED),
     "landing_merge": _with({"raw": RAW}, LANDED),
     "landing_stream": _with({"raw": RAW}, LANDED),
+    "landing_batch_then_stream": _with({"raw": RAW}, LANDED),
+    "landing_partitioned": _with({"raw": RAW}, LANDED),
     "landing_manifest": _with({"raw": RAW}, MANIFEST),
     "gold_customers": _with(_only(PATHED, *PEOPLE, "customers"), _stamped("customers")),
     "gold_products": _with(_only(PATHED, *GOODS, "products"), _stamped("products")),
@@ -188,3 +190,8 @@ ORACLE: dict[str, str] = {
     "gold_row_counts": _counts(NAMED, _ALL_NAMES),
     "gold_row_counts_keyed": _counts(PATHED, _ALL_NAMES),
 }
+
+ORACLE |= {
+    f"{name}_shuffled": ORACLE[name]
+    for name in ("address_core", "address_core_keyed", "customers_core", "transactions_core")
+}

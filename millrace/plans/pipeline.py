@@ -16,7 +16,7 @@ from millrace.plans.entities import (
 )
 from millrace.plans.gold import publish_gold, row_counts
 from millrace.plans.lookups import build_lookups
-from millrace.registry import BY_PATH, LOOKUPS, TABLES
+from millrace.registry import BY_PATH, LANDING_PATTERN, LOOKUPS, TABLES
 from millrace.sources.landing import read_landing
 from millrace.sources.tables import Store, write_all
 
@@ -25,7 +25,8 @@ def merge_landing(
     store: Store, landing: str | None = None, infer: bool = False, num_files: int | None = None
 ) -> DataFrame:
     """Merge the landing CSV files into the bronze table and return it."""
-    store.write_bronze(read_landing(store.spark, landing or store.landing, infer), num_files)
+    pattern = None if landing else LANDING_PATTERN
+    store.write_bronze(read_landing(store.spark, landing or store.landing, infer, pattern), num_files)
     return store.read_bronze()
 
 

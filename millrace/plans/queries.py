@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.distinct import distinct_rows
+from millrace.operators.joins import BROADCAST_SETTING
 from millrace.plans.entities import (
     build_addresses,
     build_customers,
@@ -138,6 +139,38 @@ def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts({name: spark.table(name) for name in names})
 
 
+def shuffled(spark: SparkSession, sf_dir: str, query: Query) -> DataFrame:
+    """A query planned as if no lookup were small enough to be broadcast."""
+    before = spark.conf.get(BROADCAST_SETTING, None)
+    spark.conf.set(BROADCAST_SETTING, "0")
+    try:
+        return query(spark, sf_dir)
+    finally:
+        if before is None:
+            spark.conf.unset(BROADCAST_SETTING)
+        else:
+            spark.conf.set(BROADCAST_SETTING, before)
+
+
+def landing_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the records merged as a batch, the other half as a stream."""
+    records, half = retail_records(spark, sf_dir), F.col("Transaction_ID") % 2 == 0
+    store, halves = Store(spark, scratch_path(spark, "both")), []
+    for part in (half, ~half):
+        halves.append(scratch_path(spark, "landing"))
+        write_csv(records.where(part), halves[-1])
+    merge_landing(store, halves[0])
+    return _typed_time(stream_landing(store, scratch_path(spark, "progress"), halves[1]))
+
+
+def landing_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records from a landing folder with a folder for each day."""
+    path = scratch_path(spark, "landing")
+    days = (F.col("Transaction_ID") % BATCHES).cast("string")
+    write_csv(retail_records(spark, sf_dir).withColumn("day", days), path, partition_by="day")
+    return _typed_time(merge_landing(Store(spark, scratch_path(spark, "dated")), path))
+
+
 QUERIES: dict[str, Query] = {
     "raw_row_count": raw_row_count,
     "distinct_state_country": distinct_state_country,
@@ -155,6 +188,8 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "landing_merge": landing_merge,
     "landing_stream": landing_stream,
+    "landing_batch_then_stream": landing_batch_then_stream,
+    "landing_partitioned": landing_partitioned,
     "landing_manifest": landing_audit,
     "gold_customers": partial(gold_entity, key="customers", builder=build_customers),
     "gold_products": partial(gold_entity, key="products", builder=build_products),
@@ -164,3 +199,8 @@ QUERIES: dict[str, Query] = {
     "gold_row_counts": partial(gold_row_counts, mode=BY_NAME),
     "gold_row_counts_keyed": partial(gold_row_counts, mode=BY_PATH),
 }
+
+QUERIES |= {
+    f"{name}_shuffled": partial(shuffled, query=QUERIES[name])
+    for name in ("address_core", "address_core_keyed", "customers_core", "transactions_core")
+}

@@ -85,6 +85,7 @@ LANDING_TYPES = {
 LANDING_FILES = tuple(f"retail_data_{i}.csv" for i in range(1, 11))
 
 LANDING_PATH = "bronze/data/raw"
+LANDING_PATTERN = "retail_data_*.csv"
 BRONZE_PATH = "bronze/data/retail_data_parquet"
 SILVER_PATH = "silver/data"
 GOLD_PATH = "gold/data/duckdb"

@@ -11,13 +11,25 @@ from pyspark.sql import types as T
 from millrace.registry import LANDING_FILES, LANDING_TYPES
 
 
-def landing_schema(spark: SparkSession, path: str) -> T.StructType:
+#: Files that are read from a folder, at any depth; what else lies there is left alone.
+LANDING_GLOB = "*.csv"
+
+
+def _options(pattern: str | None) -> dict[str, str]:
+    """How landing files are found and read, the same for headers, batches and streams."""
+    return {
+        "header": "true", "enforceSchema": "false", "recursiveFileLookup": "true",
+        "pathGlobFilter": pattern or LANDING_GLOB,
+    }
+
+
+def landing_schema(spark: SparkSession, path: str, pattern: str | None = None) -> T.StructType:
     """Declared types in the order of the header found at `path`.
 
     Reads one line. Columns the model does not know are kept as text; a missing
     one is an error here rather than a column of NULLs later.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    header = spark.read.options(**_options(pattern)).csv(path).columns
     missing = [name for name in LANDING_TYPES if name not in header]
     if missing:
         raise ValueError(f"landing files at {path} lack the columns {missing}")
@@ -27,18 +39,26 @@ def landing_schema(spark: SparkSession, path: str) -> T.StructType:
     return schema
 
 
-def read_landing(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """All CSV files matching `path` as one table.
+def read_landing(spark: SparkSession, path: str, infer: bool = False, pattern: str | None = None) -> DataFrame:
+    """All CSV files at or below `path` whose names match `pattern` as one table.
 
+    Folders may be nested or dated; their names add no column.
     Types are declared, and a file whose header differs from the others fails
     the read: CSV columns are matched by position, so accepting it would put
     values into the wrong columns. `infer=True` derives types from the data
     instead, at the price of an extra pass.
     """
-    reader = spark.read.option("header", True)
+    schema = landing_schema(spark, path, pattern)
+    reader = spark.read.options(**_options(pattern))
     if infer:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(landing_schema(spark, path)).option("enforceSchema", False).csv(path)
+    return reader.schema(schema).csv(path)
+
+
+def stream_reader(spark: SparkSession, path: str, files_per_batch: int, pattern: str | None = None) -> DataFrame:
+    """The same files as a stream."""
+    reader = spark.readStream.options(**_options(pattern)).option("maxFilesPerTrigger", files_per_batch)
+    return reader.schema(landing_schema(spark, path, pattern)).csv(path)
 
 
 def landing_manifest(

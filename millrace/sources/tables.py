@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,22 @@ class Store:
     def gold(self, key: str) -> str:
         return self._at(f"{GOLD_PATH}/{TABLES[key].table}.parquet")
 
+    @property
+    def bronze_stream(self) -> str:
+        """Where streams add records. A stream's log lists all files of its folder, so batches keep out of it."""
+        return f"{self.bronze}_stream"
+
     def read_bronze(self) -> DataFrame:
-        return self.spark.read.parquet(self.bronze)
+        """All records, of the last batch merge and of all streams."""
+        parts = [self.spark.read.parquet(path) for path in (self.bronze, self.bronze_stream) if self._exists(path)]
+        if not parts:
+            return self.spark.read.parquet(self.bronze)  # says what is missing
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
     def read_silver(self, key: str) -> DataFrame:
         return self._read(key, self.silver(key))

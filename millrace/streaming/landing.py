@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from millrace.sources.landing import landing_schema
+from millrace.registry import LANDING_PATTERN
+from millrace.sources.landing import stream_reader
 from millrace.sources.tables import Store
 
 
@@ -17,23 +18,17 @@ def stream_landing(
     """Merge the landing files not merged before into bronze, each exactly once, then stop.
 
     `progress` holds the stream's checkpoint and must stay with the bronze
-    table it belongs to. Records are independent here, so the stream keeps no
+    table it belongs to. Streams and batch merges have folders of their own, and
+    bronze is both together, so a file is to be given to one of them. Records are independent here, so the stream keeps no
     state and a run costs only the files that are new. A backlog is worked off
     in batches of `files_per_batch`, each committed on its own, so a run that is
     interrupted resumes after the last finished batch.
     """
-    landing = landing or store.landing
-    records = (
-        store.spark.readStream.schema(landing_schema(store.spark, landing))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(landing)
-    )
+    pattern = None if landing else LANDING_PATTERN
+    records = stream_reader(store.spark, landing or store.landing, files_per_batch, pattern)
     query = (
         records.writeStream.format("parquet")
-        .option("path", store.bronze)
+        .option("path", store.bronze_stream)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()

@@ -59,3 +59,25 @@ def test_the_session_can_set_the_limit(spark, tables):
         assert "_salt" in out._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset(BROADCAST_SETTING)
+
+
+@pytest.mark.parametrize("how", ["right", "full", "left_anti"])
+def test_only_joins_that_keep_to_the_records(tables, how):
+    facts, names = tables
+    with pytest.raises(ValueError, match="how"):
+        attach(facts, [Match(names, {"k": "name"})], how=how, broadcast_bytes=0)
+
+
+def test_inner_joins_agree_whatever_the_size(tables):
+    facts, names = tables
+    match = [Match(names, {"k": "name"})]
+    assert rows(attach(facts, match, "inner")) == rows(attach(facts, match, "inner", broadcast_bytes=0))
+
+
+def test_the_limit_holds_for_all_tables_together(tables):
+    facts, names = tables
+    other = names.withColumnRenamed("nid", "oid")
+    one = measure([names])[0]
+    plan = attach(facts, [Match(names, {"k": "name"}), Match(other, {"k": "name"})], broadcast_bytes=one)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "_salt" in text

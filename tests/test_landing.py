@@ -97,3 +97,35 @@ def test_stream_merges_each_file_once(spark, tmp_path, csv_file):
     again = stream_landing(store, progress, str(landing))
     assert sorted(r.Transaction_ID for r in again.collect()) == [1.0, 2.0, 3.0]
     assert stream_landing(store, progress, str(landing)).count() == 3
+
+
+def test_streams_and_batches_share_a_bronze(spark, tmp_path, csv_file):
+    store, progress = Store(spark, str(tmp_path / "base")), str(tmp_path / "progress")
+    arriving, whole = tmp_path / "arriving", tmp_path / "whole"
+    for folder in (arriving, whole):
+        folder.mkdir()
+    csv_file(arriving / "a.csv", {"Transaction_ID": 1})
+    csv_file(whole / "b.csv", {"Transaction_ID": 2})
+    assert stream_landing(store, progress, str(arriving)).count() == 1
+    assert merge_landing(store, str(whole)).count() == 2
+    csv_file(arriving / "c.csv", {"Transaction_ID": 3})
+    both = stream_landing(store, progress, str(arriving))
+    assert sorted(r.Transaction_ID for r in both.collect()) == [1.0, 2.0, 3.0]
+
+
+def test_nested_and_dated_folders_are_read_and_strays_left_alone(spark, tmp_path, csv_file):
+    for i, place in enumerate(("day=1", "day=2/late", "more")):
+        (tmp_path / place).mkdir(parents=True)
+        csv_file(tmp_path / place / f"retail_data_{i}.csv", {"Transaction_ID": i})
+    (tmp_path / "stray.txt").write_text("not,a,landing,file\n")
+    assert sorted(r.Transaction_ID for r in read_landing(spark, str(tmp_path)).collect()) == [0.0, 1.0, 2.0]
+    assert tuple(read_landing(spark, str(tmp_path)).columns) == COLUMNS
+    store = Store(spark, str(tmp_path / "base"))
+    assert stream_landing(store, str(tmp_path / "progress"), str(tmp_path / "day=2")).count() == 1
+
+
+def test_inference_checks_the_headers_too(spark, tmp_path, csv_file):
+    csv_file(tmp_path / "a.csv", {"Transaction_ID": 1})
+    csv_file(tmp_path / "b.csv", {"Transaction_ID": 2}, columns=COLUMNS[::-1])
+    with pytest.raises(Exception, match="header"):
+        read_landing(spark, str(tmp_path), infer=True).collect()
