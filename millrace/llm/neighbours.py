@@ -463,9 +463,9 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
     rows = materialize(usable(vectors, id_column, vector_column), "vectors")
     # equal vectors are one node, named by its least id; no more than k + 1 members can be returned
     classes = rows.groupBy("vector").agg(F.min("vec_id").alias("id"))
-    space, graph = neighbour_graph(classes.select("id", "vector"))
-    if not space.count:
+    if rows.isEmpty():
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    space, graph = neighbour_graph(classes.select("id", "vector"))
     member = rows.join(space.nodes.select("vector", "id"), "vector").select("vec_id", "id")
     member = materialize(member, "members")
     within = Window.partitionBy("id").orderBy("vec_id")
