@@ -9,6 +9,12 @@ A word seen in training is one more edge across its whole lattice: with absolute
 (c - d) / N, and the mass d * V / N taken from seen words weights all segmentations. The weights of
 all words and of the end sum to one, so the score of a text is the log10 of a probability.
 
+A text repeats its own words, so its words are draws from an urn that starts with CONCENTRATION draws
+from that distribution and gets one more ball of each word drawn (a Dirichlet process with the lattice
+as its base): after i words a word seen k times before in the text has (k + CONCENTRATION * p) /
+(i + CONCENTRATION). That is the marginal over all distributions the urn stands for. The end of a text
+stays outside the urn, with the same probability after each word.
+
 Words are counted over all documents. Documents are dealt into buckets, a bucket asks once for each
 of its words, and gets count and probability back; no table of words is ever held as a whole.
 """
@@ -33,6 +39,8 @@ PRIOR = 0.02
 FIRST_WORDS = 50_000
 FIRST_ROUNDS = 6
 FIRST_TASKS = 16
+#: Words of a text after which its own counts weigh as much as the model of all texts.
+CONCENTRATION = 2000.0
 #: Fixed value: the sign of a word's beginning in vocabularies of this kind.
 START = "▁"
 _CODE = 21
@@ -273,6 +281,21 @@ def _word_scores(model: SubwordModel) -> DataFrame:
     return model.words.mapInArrow(run, "key long, times long, score float")
 
 
+def _drawn(logs: np.ndarray, same: np.ndarray, before: np.ndarray, end: float) -> np.ndarray:
+    """log10 of the probability of each word given those before it in its text.
+
+    `logs` are the words' log10 probabilities in the model, `same` is equal for equal words of one text,
+    `before` counts the words before, and `end` is the log10 probability of the end.
+    """
+    order = np.argsort(same, kind="stable")
+    first = np.flatnonzero(np.append(True, same[order][1:] != same[order][:-1])) if len(same) else order
+    times = np.empty(len(same))
+    times[order] = np.arange(len(same)) - np.repeat(first, np.diff(np.append(first, len(same))))
+    with np.errstate(divide="ignore"):
+        own = np.log(times * (1.0 - 10.0**end))
+    return np.logaddexp(own, logs * np.log(10) + np.log(CONCENTRATION)) / np.log(10) - np.log10(before + CONCENTRATION)
+
+
 def score(docs: DataFrame, model: SubwordModel) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of each row; needs doc_id and text.
 
@@ -307,14 +330,16 @@ def score(docs: DataFrame, model: SubwordModel) -> DataFrame:
         columns: list[list[np.ndarray]] = [[], [], [], []]
         for lo, hi in chunks(texts):
             words = Words(texts[lo:hi])
-            at = np.searchsorted(keys, signed(words.key))
+            at, text = np.searchsorted(keys, signed(words.key)), words.text_of()
             size = np.diff(words.bound)
-            for column, values in zip(columns, (np.ones(len(keys)), times > 0, base, logs), strict=True):
+            drawn = _drawn(logs[at], text * len(keys) + at, np.arange(len(at)) - words.bound[text], logs[end])
+            each = ((np.ones(len(at)), 1), (times[at] > 0, times[end] > 0), (base[at], base[end]), (drawn, logs[end]))
+            for column, (values, last) in zip(columns, each, strict=True):
                 sums = np.zeros(len(size))
                 if len(at):
                     full = np.flatnonzero(size)
-                    sums[full] = np.add.reduceat(values[at].astype(float), words.bound[:-1][full])
-                column.append(sums + values[end])
+                    sums[full] = np.add.reduceat(values.astype(float), words.bound[:-1][full])
+                column.append(sums + last)
         out = [np.concatenate(c) for c in columns]
         return pa.table({
             "doc_id": table["doc_id"], "n_tokens": pa.array(out[0].astype(np.int64)), "n_known": pa.array(out[1].astype(np.int64)),
