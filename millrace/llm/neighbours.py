@@ -40,6 +40,8 @@ POOL = 400
 VISITS = (32, 64, 96, 128, 160)
 #: Best nodes a query scores on the original vectors.
 RESCORED = 64
+#: Bytes of the vectors sent to neighbours, about, that a task handles in a round.
+TASK_BYTES = 32 << 20
 
 _LIST = "bucket int, id long, nbr binary, score binary, fresh binary"
 
@@ -140,6 +142,13 @@ class _Space:
         count, longest, self.width = nodes.agg(F.count(F.lit(1)), F.max(norm), F.max(F.size("vector"))).first()
         self.count, self.longest = count, longest
         self.nodes = nodes.select(bucket_of(buckets, "id").alias("bucket"), "id", "vector")
+        sent = self.count * 2 * DEGREE * ((self.width or 0) + 32)
+        self.tasks = max(2 * nodes.sparkSession.sparkContext.defaultParallelism, sent // TASK_BYTES)
+
+    def fewer(self, df: DataFrame) -> DataFrame:
+        """`df` in as many tasks as the size of the table calls for: small rounds are neither cut
+        into tasks nor written as files of a few rows."""
+        return df.coalesce(int(self.tasks))
 
     def __getstate__(self):
         """What tasks need of it: everything but the table."""
@@ -233,7 +242,7 @@ def _start(space: _Space) -> DataFrame:
     sized = dealt.join(sizes.select("leaf", parts.alias("parts")), "leaf")
     sized = sized.withColumn("part", F.pmod(F.xxhash64("id", "leaf"), F.col("parts")))
     lists = sized.groupBy("leaf", "part").applyInArrow(nearest, _LIST)
-    lists = lists.withColumn("bucket", bucket_of(buckets, "id"))
+    lists = space.fewer(lists.withColumn("bucket", bucket_of(buckets, "id")))
     return lists.groupBy("bucket").applyInArrow(merge, _LIST)
 
 
@@ -276,7 +285,7 @@ def _met(space: _Space, graph: DataFrame) -> DataFrame:
     nearest = Window.partitionBy("at", "back").orderBy(F.desc("score"), "id")
     links = links.withColumn("rank", F.row_number().over(nearest)).filter((F.col("back") == 0) | (F.col("rank") <= REVERSE))
     links = links.groupBy("at", "id").agg(F.max("fresh").alias("fresh"))
-    links = links.withColumn("bucket", bucket_of(buckets, "id"))
+    links = space.fewer(links.withColumn("bucket", bucket_of(buckets, "id")))
 
     def ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,7 +299,7 @@ def _met(space: _Space, graph: DataFrame) -> DataFrame:
         "bucket", "id", "vector", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst")
     )
     met = links.groupBy("bucket").cogroup(nodes.groupBy("bucket")).applyInArrow(send, _NEAR)
-    return met.withColumn("bucket", bucket_of(buckets, "at"))
+    return space.fewer(met.withColumn("bucket", bucket_of(buckets, "at")))
 
 
 def _groups(sorted_ids: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -331,16 +340,16 @@ def _descend(space: _Space, graph: DataFrame) -> DataFrame:
         return _lists(bucket, *table)
 
     found = _met(space, graph).groupBy("bucket").applyInArrow(compare, _LIST)
-    found = found.withColumn("bucket", bucket_of(space.buckets, "id"))
+    found = space.fewer(found.withColumn("bucket", bucket_of(space.buckets, "id")))
     return graph.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(merge, _LIST)
 
 
 def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[_Space, DataFrame]:
     """The graph over `nodes` (id, vector): a list of up to DEGREE near nodes for each, dealt by bucket."""
     space = _Space(materialize(nodes, "nodes"), max(1, 2 * shuffle_partitions(nodes.sparkSession)))
-    graph = materialize(_start(space), "graph")
+    graph = materialize(space.fewer(_start(space)), "graph")
     for _ in range(rounds if space.count > 2 * LEAF else 0):
-        graph = materialize(_descend(space, graph), "graph")
+        graph = materialize(space.fewer(_descend(space, graph)), "graph")
     return space, graph
 
 
@@ -413,16 +422,16 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
 
     near = met.groupBy("bucket")
     pool = queries.select("bucket", "id").groupBy("bucket").applyInArrow(begin, _LIST)
-    pool = materialize(pool.withColumn("bucket", bucket_of(buckets, "id")), "pool")
+    pool = materialize(space.fewer(pool.withColumn("bucket", bucket_of(buckets, "id"))), "pool")
     for most in (1, *VISITS):
         asked = pool.groupBy("bucket").cogroup(queries.groupBy("bucket")).applyInArrow(
             visits(most), "at long, query long, worst float, vector binary"
-        ).withColumn("bucket", bucket_of(buckets, "at"))
-        found = near.cogroup(asked.groupBy("bucket")).applyInArrow(look, _LIST)
-        found = found.withColumn("bucket", bucket_of(buckets, "id"))
-        pool = materialize(
-            pool.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(merges(most), _LIST), "pool"
         )
+        asked = space.fewer(asked.withColumn("bucket", bucket_of(buckets, "at")))
+        found = near.cogroup(asked.groupBy("bucket")).applyInArrow(look, _LIST)
+        found = space.fewer(found.withColumn("bucket", bucket_of(buckets, "id")))
+        merged = pool.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(merges(most), _LIST)
+        pool = materialize(space.fewer(merged), "pool")
     met.unpersist()
 
     def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -467,13 +476,13 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     space, graph = neighbour_graph(classes.select("id", "vector"))
     member = rows.join(space.nodes.select("vector", "id"), "vector").select("vec_id", "id")
-    member = materialize(member, "members")
+    member = materialize(space.fewer(member), "members")
     within = Window.partitionBy("id").orderBy("vec_id")
     shown = member.withColumn("n", F.row_number().over(within)).filter(F.col("n") <= k + 1).select("id", "vec_id")
     asking = member.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("id").alias("query"))
-    nodes = materialize(
-        space.nodes.join(asking.select(F.col("query").alias("id")).distinct(), "id", "left_semi").select("bucket", "id", "vector"), "queries"
-    )
+    asked = asking.select(F.col("query").alias("id")).distinct()
+    nodes = space.nodes.join(asked, "id", "left_semi").select("bucket", "id", "vector")
+    nodes = materialize(space.fewer(nodes), "queries")
     scored = _exact(nodes, _walk(space, graph, nodes), space.nodes)
     found = scored.join(shown, "id").select("query", "vec_id", "score")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
