@@ -25,6 +25,8 @@ def distinct_names(df: DataFrame, paths: Mapping[str, Sequence[str]]) -> DataFra
     """
     cells = []
     for lookup, columns in paths.items():
+        if len(columns) > len(LEVELS):
+            raise ValueError(f"{lookup} has {len(columns)} levels, more than {len(LEVELS)}")
         complete = F.lit(True)
         for column in columns:
             complete = complete & df[column].isNotNull()

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.registry import TABLES
@@ -21,8 +21,8 @@ def publish_gold(
     """Publish tables in their contract column order; returns the published names.
 
     By default every table is exported to its gold path. `database` creates or
-    replaces catalog tables instead, and `views` registers temporary views over
-    silver, which moves no data.
+    replaces catalog tables over the gold paths as well, and `views` registers
+    temporary views over silver, which moves no data.
     """
     jobs, names = [], []
     for key in keys:
@@ -32,14 +32,32 @@ def publish_gold(
         if views:
             rows.createOrReplaceTempView(spec.table)
         elif database:
-            writer = rows.write.mode("overwrite").format("parquet")
-            jobs.append(partial(writer.saveAsTable, f"{database}.{spec.table}"))
+            jobs.append(partial(_save_table, rows, f"{database}.{spec.table}", store.gold(key)))
         else:
             jobs.append(partial(store.write_gold, key, rows))
     write_all(store.spark, jobs)
     return names
 
 
+def _save_table(rows: DataFrame, name: str, location: str | None) -> None:
+    writer = rows.write.mode("overwrite").format("parquet")
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
+
+
+def create_table(
+    spark: SparkSession, name: str, path: str, columns: Sequence[str] | None = None, location: str | None = None
+) -> DataFrame:
+    """Create or replace the catalog table `name` from the Parquet data at `path`, and return it.
+
+    It gets `columns` in that order, or all, and lies at `location`, or where the catalog puts it.
+    """
+    rows = spark.read.parquet(path)
+    _save_table(rows.select(*columns) if columns else rows, name, location)
+    return spark.table(name)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, n) for each table, as one query."""
     counts = [

@@ -35,7 +35,9 @@ def build_lookups(
         names = _spread_cities(materialize(distinct_names(records, paths), "names"))
     else:
         names = distinct_names(records, paths)
-    numbered = materialize(_with_parent_id(dense_key(names, LEVELS, "id", within=["lookup"]), keys), "lookups")
+    numbered = _with_parent_id(dense_key(names, LEVELS, "id", within=["lookup"]), keys)
+    if len(keys) > 1:
+        numbered = materialize(numbered, "lookups")
     return {key: _table(numbered, LOOKUPS[key]) for key in keys}
 
 

@@ -118,6 +118,11 @@ SELECT CAST(Transaction_ID % 10 + 1 AS VARCHAR) AS source, CAST(count(*) AS BIGI
 FROM raw GROUP BY ALL
 UNION ALL SELECT '11', CAST(0 AS BIGINT), 'missing'"""
 
+RECONCILED = """
+SELECT count(DISTINCT Transaction_ID % 10) AS files, count(*) AS landing_rows, count(*) AS bronze_rows,
+       'complete' AS status
+FROM raw"""
+
 FLAT = {
     key: _flat(spec.source, spec.id, spec.name) for key, spec in LOOKUPS.items() if spec.parent is None
 }
@@ -156,6 +161,14 @@ def _counts(views: dict[str, str], names: dict[str, str]) -> str:
     ))
 
 
+def _values(views: dict[str, str]) -> str:
+    return _with(views, "\nUNION ALL ".join(
+        f"SELECT '{spec.table}' AS table_name, CAST({spec.id} AS BIGINT) AS id, {spec.name} AS name, "
+        f"CAST({LOOKUPS[spec.parent].id if spec.parent else 'NULL'} AS BIGINT) AS parent_id FROM {key}"
+        for key, spec in LOOKUPS.items()
+    ))
+
+
 _LOOKUP_NAMES = {key: spec.table for key, spec in LOOKUPS.items()}
 _ALL_NAMES = {**_LOOKUP_NAMES, **{name: name for name in ("customers", "products", "addresses", "transactions")}}
 
@@ -182,10 +195,12 @@ ORACLE: dict[str, str] = {
     "landing_batch_then_stream": _with({"raw": RAW}, LANDED),
     "landing_partitioned": _with({"raw": RAW}, LANDED),
     "landing_manifest": _with({"raw": RAW}, MANIFEST),
+    "landing_reconciliation": _with({"raw": RAW}, RECONCILED),
     "gold_customers": _with(_only(PATHED, *PEOPLE, "customers"), _stamped("customers")),
     "gold_products": _with(_only(PATHED, *GOODS, "products"), _stamped("products")),
     "gold_addresses": _with(_only(PATHED, *GEO, "addresses"), _stamped("addresses")),
     "gold_transactions": _with(_only(PATHED, *METHODS, "transactions"), _stamped("transactions")),
+    "gold_catalog_tables": _values(_only(PATHED, *LOOKUPS)),
     "gold_lookup_views": _counts(_only(PATHED, *LOOKUPS), _LOOKUP_NAMES),
     "gold_row_counts": _counts(NAMED, _ALL_NAMES),
     "gold_row_counts_keyed": _counts(PATHED, _ALL_NAMES),

@@ -17,6 +17,7 @@ from millrace.plans.entities import (
 from millrace.plans.gold import publish_gold, row_counts
 from millrace.plans.lookups import build_lookups
 from millrace.registry import BY_PATH, LANDING_PATTERN, LOOKUPS, TABLES
+from millrace.session import scratch_run
 from millrace.sources.landing import read_landing
 from millrace.sources.tables import Store, write_all
 
@@ -30,13 +31,16 @@ def merge_landing(
     return store.read_bronze()
 
 
-def build_silver(store: Store, mode: str = BY_PATH, as_of: Stamp = None) -> None:
-    """Build the eleven lookups and the four core tables from bronze.
+def build_silver(store: Store, mode: str = BY_PATH, as_of: Stamp = None, key_type: str = "bigint") -> None:
+    """Build the eleven lookups and the four core tables from bronze; scratch data goes with the last write.
 
-    The core tables depend on the lookups but not on each other.
+    The core tables depend on the lookups but not on each other. `key_type` is that of Product_ID.
     """
-    if as_of is None:
-        as_of = datetime.datetime.now()
+    with scratch_run(store.spark, store.base):
+        _build_silver(store, mode, datetime.datetime.now() if as_of is None else as_of, key_type)
+
+
+def _build_silver(store: Store, mode: str, as_of: Stamp, key_type: str) -> None:
     bronze = store.read_bronze()
     built = build_lookups(bronze, mode=mode)
     write_all(store.spark, [partial(store.write_silver, key, table) for key, table in built.items()])
@@ -44,7 +48,7 @@ def build_silver(store: Store, mode: str = BY_PATH, as_of: Stamp = None) -> None
     builders = {
         "addresses": partial(build_addresses, mode=mode),
         "customers": build_customers,
-        "products": partial(build_products, mode=mode),
+        "products": partial(build_products, mode=mode, key_type=key_type),
         "transactions": build_transactions,
     }
     write_all(
@@ -64,10 +68,11 @@ def run_pipeline(
     mode: str = BY_PATH,
     as_of: Stamp = None,
     infer: bool = False,
+    key_type: str = "bigint",
 ) -> DataFrame:
     """Landing files to gold below `base`; returns the row count of every gold table."""
     store = Store(spark, base)
     merge_landing(store, landing, infer)
-    build_silver(store, mode, as_of)
+    build_silver(store, mode, as_of, key_type)
     publish_gold(store)
     return row_counts({TABLES[key].table: store.read_gold(key) for key in TABLES})

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from millrace.plans.lookups import build_lookups
 from millrace.plans.pipeline import merge_landing, run_pipeline
 from millrace.registry import AUDIT_COLUMNS, BY_NAME, BY_PATH, ENTITIES, LANDING_TYPES, LOOKUPS, TABLES
 from millrace.session import materialize, scratch_path
-from millrace.sources.landing import landing_manifest, read_landing
+from millrace.sources.landing import landing_manifest, read_landing, reconcile
 from millrace.sources.star import retail_records
 from millrace.sources.tables import Store, write_csv
 from millrace.streaming.landing import stream_landing
@@ -118,11 +118,21 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest over landing folders batch=1..10, with an eleventh expected but never written."""
+    return _batches(spark, sf_dir)[1]
+
+
+def landing_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same landing folders, merged and compared with bronze."""
+    path, manifest = _batches(spark, sf_dir)
+    return reconcile(manifest, merge_landing(Store(spark, scratch_path(spark, "merge")), path))
+
+
+def _batches(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, "landing")
     records = retail_records(spark, sf_dir)
     write_csv(records.withColumn("batch", F.col("Transaction_ID") % BATCHES + 1), path, partition_by="batch")
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"batch=(\d+)", 1)
-    return landing_manifest(spark, path, [str(i) for i in range(1, BATCHES + 2)], folder)
+    return path, landing_manifest(spark, path, [str(i) for i in range(1, BATCHES + 2)], folder)
 
 
 def gold_row_counts(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
@@ -135,8 +145,33 @@ def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, scratch_path(spark, "lakehouse"))
     for key, table in build_lookups(retail_records(spark, sf_dir)).items():
         store.write_silver(key, table)
-    names = publish_gold(store, LOOKUPS, views=True)
-    return row_counts({name: spark.table(name) for name in names})
+    views = {name: spark.table(name) for name in publish_gold(store, LOOKUPS, views=True)}
+    for name in views:
+        spark.catalog.dropTempView(name)
+    return row_counts(views)
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookups published as catalog tables: (table_name, id, name, parent_id) of all their rows."""
+    path = scratch_path(spark, "lakehouse")
+    store = Store(spark, path)
+    database = "gold_" + path.rpartition("-")[2]
+    for key, table in build_lookups(retail_records(spark, sf_dir)).items():
+        store.write_silver(key, table)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}/catalog'")
+    try:
+        tables = {name: spark.table(f"{database}.{name}") for name in publish_gold(store, LOOKUPS, database)}
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")  # their files lie outside of it and stay
+    return reduce(DataFrame.union, [
+        tables[spec.table].select(
+            F.lit(spec.table).alias("table_name"),
+            F.col(spec.id).cast("bigint").alias("id"),
+            F.col(spec.name).alias("name"),
+            (F.col(LOOKUPS[spec.parent].id) if spec.parent else F.lit(None)).cast("bigint").alias("parent_id"),
+        )
+        for spec in LOOKUPS.values()
+    ])
 
 
 def shuffled(spark: SparkSession, sf_dir: str, query: Query) -> DataFrame:
@@ -191,11 +226,13 @@ QUERIES: dict[str, Query] = {
     "landing_batch_then_stream": landing_batch_then_stream,
     "landing_partitioned": landing_partitioned,
     "landing_manifest": landing_audit,
+    "landing_reconciliation": landing_reconciliation,
     "gold_customers": partial(gold_entity, key="customers", builder=build_customers),
     "gold_products": partial(gold_entity, key="products", builder=build_products),
     "gold_addresses": partial(gold_entity, key="addresses", builder=build_addresses),
     "gold_transactions": partial(gold_entity, key="transactions", builder=build_transactions),
     "gold_lookup_views": catalog_row_counts,
+    "gold_catalog_tables": catalog_tables,
     "gold_row_counts": partial(gold_row_counts, mode=BY_NAME),
     "gold_row_counts_keyed": partial(gold_row_counts, mode=BY_PATH),
 }

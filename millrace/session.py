@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+import warnings
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Names the scratch folder of the run under way; Spark hands it on to threads that inherit from this one.
+_RUN = "millrace.scratch"
+
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
@@ -31,33 +36,66 @@ def object_store_conf(
     path_style: bool = True,
     ssl: bool = True,
     credentials_provider: str | None = None,
-    multipart_bytes: int = 100 * 1024 * 1024,
 ) -> dict[str, str]:
     """S3A settings for an S3-compatible store. Secrets stay with the credentials provider."""
     conf = {
         "spark.hadoop.fs.s3a.endpoint": endpoint,
         "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
         "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
-        "spark.hadoop.fs.s3a.multipart.size": str(multipart_bytes),
-        "spark.hadoop.fs.s3a.fast.upload.buffer": "disk",
     }
     if credentials_provider:
         conf["spark.hadoop.fs.s3a.aws.credentials.provider"] = credentials_provider
     return conf
 
 
+def _shared(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever storage it lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, base: str) -> Iterator[str]:
+    """Keep all scratch data of a run in a folder of its own, removed at the end.
+
+    It lies in the folder named by spark.checkpoint.dir, else below `base`, the place of
+    the data itself. Nothing read from scratch may be used afterwards. A run that was lost
+    leaves its folder behind, which no other run looks into. Within another run, that one's
+    folder is used.
+    """
+    context = spark.sparkContext
+    if context.getLocalProperty(_RUN):
+        yield context.getLocalProperty(_RUN)
+        return
+    path = f"{(_shared(spark) or f'{base}/_scratch').rstrip('/')}/millrace/run-{uuid.uuid4().hex}"
+    context.setLocalProperty(_RUN, path)
+    try:
+        yield path
+    finally:
+        context.setLocalProperty(_RUN, None)
+        remove(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str = "stage") -> str:
-    """A fresh path in the folder named by spark.checkpoint.dir, which all executors share.
+    """A fresh path in the run's scratch folder, else in the one named by spark.checkpoint.dir, which all executors share.
 
-    Only a local master may do without that setting; it then gets a temporary
+    Only a local master may do without both; it then gets a temporary
     folder that goes away with the process.
     """
     global _local_scratch
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    run = spark.sparkContext.getLocalProperty(_RUN)
+    if run:
+        return f"{run}/{label}-{uuid.uuid4().hex}"
+    base = _shared(spark)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         if _local_scratch is None:
+            warnings.warn("spark.checkpoint.dir is unset: scratch data goes to a temporary folder", stacklevel=2)
             _local_scratch = tempfile.TemporaryDirectory(prefix="millrace-", ignore_cleanup_errors=True)
         base = _local_scratch.name
     return f"{base.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"

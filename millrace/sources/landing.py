@@ -75,11 +75,12 @@ def landing_manifest(
     and files are found through a listing, so a file without records is `empty`
     rather than `missing`.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    options = {key: value for key, value in _options(None).items() if key != "enforceSchema"}
+    listing = spark.read.format("binaryFile").options(**options).load(path)
     names = F.col("_metadata.file_name") if label is None else label
     found = listing.select(names.alias("source")).distinct().withColumn("found", F.lit(True))
     rows = (
-        spark.read.option("header", True).schema("first string").csv(path)
+        spark.read.options(**options).schema("first string").csv(path)
         .select(names.alias("source"))
         .groupBy("source")
         .agg(F.count(F.lit(1)).alias("rows"))
@@ -96,3 +97,18 @@ def landing_manifest(
         .join(rows, "source", "left")
         .select("source", F.coalesce("rows", F.lit(0)).alias("rows"), status.alias("status"))
     )
+
+
+def reconcile(manifest: DataFrame, bronze: DataFrame) -> DataFrame:
+    """(files, landing_rows, bronze_rows, status) in one row: does bronze hold what the landing files do?
+
+    `status` is `complete`, `short` or `over`.
+    """
+    landed = manifest.agg(
+        F.count_if(F.col("status") != "missing").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("landing_rows")
+    )
+    difference = F.col("bronze_rows") - F.col("landing_rows")
+    status = F.when(difference == 0, "complete").when(difference < 0, "short").otherwise("over")
+    merged = bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))
+    # one row each
+    return landed.join(merged, F.lit(True)).select("*", status.alias("status"))

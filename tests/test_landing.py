@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.pipeline import merge_landing
 from millrace.registry import LANDING_TYPES
-from millrace.sources.landing import landing_manifest, landing_schema, read_landing
+from millrace.sources.landing import landing_manifest, landing_schema, read_landing, reconcile
 from millrace.sources.tables import Store, write_csv
 from millrace.streaming.landing import stream_landing
 
@@ -129,3 +129,17 @@ def test_inference_checks_the_headers_too(spark, tmp_path, csv_file):
     csv_file(tmp_path / "b.csv", {"Transaction_ID": 2}, columns=COLUMNS[::-1])
     with pytest.raises(Exception, match="header"):
         read_landing(spark, str(tmp_path), infer=True).collect()
+
+
+def test_a_short_bronze_shows(spark, csv_file, tmp_path):
+    folder = tmp_path / "landing"
+    (folder / "day=1").mkdir(parents=True)
+    csv_file(folder / "day=1" / "a.csv", {}, {})
+    csv_file(folder / "b.csv", {})
+    manifest = landing_manifest(spark, str(folder), ["a.csv", "b.csv", "c.csv"])
+    seen = {r.source: (r.rows, r.status) for r in manifest.collect()}
+    assert seen == {"a.csv": (2, "present"), "b.csv": (1, "present"), "c.csv": (0, "missing")}
+    merged = read_landing(spark, str(folder))
+    for bronze, status in ((merged, "complete"), (merged.limit(2), "short"), (merged.union(merged), "over")):
+        got = reconcile(manifest, bronze).collect()
+        assert [(r.files, r.landing_rows, r.bronze_rows, r.status) for r in got] == [(2, 3, bronze.count(), status)]

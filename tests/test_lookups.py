@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 
 from millrace.operators.distinct import distinct_names, distinct_rows
-from millrace.plans.lookups import build_lookups
+from millrace.plans.lookups import _with_parent_id, build_lookups
 from millrace.registry import BY_NAME, BY_PATH, LOOKUPS
 
 
@@ -84,3 +84,19 @@ def test_distinct_rows_drops_incomplete_pairs(records):
 def test_unknown_mode(records):
     with pytest.raises(ValueError):
         build_lookups(records({}), mode="by_guess")
+
+
+def test_flat_lookups_take_no_part_in_the_parent_join(spark):
+    rows_in = [("brand", f"B{i}", None, None, i + 1) for i in range(50)]
+    rows_in += [("country", "A", None, None, 1), ("state_provinces", "East", "A", None, 1)]
+    numbered = spark.createDataFrame(rows_in, "lookup string, name string, parent string, grandparent string, id bigint")
+    joined = _with_parent_id(numbered, ["brand", "country", "state_provinces"])
+    assert {(r.lookup, r.parent_id) for r in joined.collect()} == {("brand", None), ("country", None), ("state_provinces", 1)}
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join LeftOuter"):].split("Filter")
+    assert "state_provinces" in join[1] and "country" in join[2]
+
+
+def test_a_fourth_level_is_refused(records):
+    with pytest.raises(ValueError):
+        distinct_names(records({}), {"street": ("Address", "City", "State/Province", "Country")})

@@ -1,8 +1,11 @@
+import pathlib
+
 import pytest
 from conftest import SF_DIR, rows
 from pyspark.sql import functions as F
 
-from millrace.plans.gold import publish_gold
+from millrace import session
+from millrace.plans.gold import create_table, publish_gold
 from millrace.plans.pipeline import build_silver, run_pipeline
 from millrace.registry import AUDIT_COLUMNS, BY_NAME, BY_PATH, ENTITIES, LOOKUPS, TABLES
 from millrace.session import object_store_conf, scratch_path
@@ -65,8 +68,6 @@ def test_every_foreign_key_exists(built):
 
 def test_a_second_run_gives_the_same_rows(built, spark, tmp_path):
     mode, store, _ = built
-    if mode == BY_NAME:
-        pytest.skip("covered by the other mode")
     again = Store(spark, str(tmp_path))
     again.write_bronze(store.read_bronze().repartition(11))
     build_silver(again, mode)
@@ -96,6 +97,43 @@ def test_scratch_lies_below_the_configured_folder(spark):
     assert scratch_path(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_a_run_removes_its_scratch_data_and_leaves_that_of_others(built, spark):
+    mode, store, _ = built
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"), "millrace")
+    lost = shared / "run-lost" / "keys"
+    lost.mkdir(parents=True, exist_ok=True)
+    before = sorted(shared.iterdir())
+    build_silver(store, mode)
+    assert sorted(shared.iterdir()) == before and lost.exists()
+
+
+def test_scratch_of_a_run_lies_below_the_data_if_no_folder_is_set(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_shared", lambda spark: None)
+    with session.scratch_run(spark, str(tmp_path)) as folder:
+        assert folder.startswith(f"{tmp_path}/_scratch/")
+        assert session.materialize(spark.range(3)).count() == 3 and pathlib.Path(folder).exists()
+    assert not pathlib.Path(folder).exists()
+
+
+def test_any_parquet_path_becomes_a_table(built, spark, tmp_path):
+    _, store, _ = built
+    spark.sql("CREATE DATABASE IF NOT EXISTS anywhere")
+    every = create_table(spark, "anywhere.brands", store.gold("brand"))
+    assert every.columns == store.read_gold("brand").columns
+    for _ in range(2):
+        names = create_table(spark, "anywhere.names", store.gold("brand"), ["Brand_Name"], str(tmp_path / "names"))
+    assert rows(names) == rows(store.read_gold("brand").select("Brand_Name"))
+    assert spark.read.parquet(str(tmp_path / "names")).columns == ["Brand_Name"]
+
+
+def test_product_ids_may_be_int(built, spark, tmp_path):
+    mode, store, _ = built
+    narrow = Store(spark, str(tmp_path))
+    narrow.write_bronze(store.read_bronze().limit(50))
+    build_silver(narrow, mode, key_type="int")
+    assert dict(narrow.read_silver("products").dtypes)["Product_ID"] == "int"
+
+
 def test_object_store_settings_hold_no_secret():
     conf = object_store_conf("http://store:9000", ssl=False)
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
