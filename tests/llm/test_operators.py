@@ -221,6 +221,25 @@ def test_lm_scores(docs, nothing):
     assert lm_score.score(nothing, lm_score.train(nothing, F.lit(True), queries.PIECES)).count() == 0
 
 
+def test_words_of_a_text_are_drawn_from_an_urn():
+    random, end = np.random.default_rng(5), np.log10(0.1)
+    p = np.array([0.5, 0.3, 0.1])
+    texts = [random.integers(0, 3, n) for n in (0, 1, 40, 7)]
+    words, text = np.concatenate(texts), np.repeat(np.arange(4), [len(t) for t in texts])
+    want = [
+        np.log10(((t[:i] == w).sum() * 0.9 + lm_score.CONCENTRATION * p[w]) / (i + lm_score.CONCENTRATION))
+        for t in texts for i, w in enumerate(t)
+    ]
+    before = np.concatenate([np.arange(len(t)) for t in texts])
+    assert lm_score._drawn(np.log10(p)[words], text * 3 + words, before, end) == pytest.approx(want)
+    nothing = np.empty(0, dtype=np.int64)
+    assert len(lm_score._drawn(nothing.astype(float), nothing, nothing, end)) == 0
+    # whatever came before, all words and the end sum to one
+    after = [np.append(texts[2], w) for w in range(3)]
+    last = [lm_score._drawn(np.log10(p)[t], t, np.arange(len(t)), end)[-1] for t in after]
+    assert (10 ** np.array(last)).sum() + 0.1 == pytest.approx(1)
+
+
 def test_the_lattice_sums_over_all_segmentations():
     pieces, logs = ["▁", "▁a", "a", "b", "ab"], np.log(np.array([0.3, 0.2, 0.2, 0.2, 0.1]))
     lattice = lm_score.Lattice([*pieces, *[""] * 256], np.append(logs, np.full(256, -30.0)), list(range(5, 261)))
