@@ -9,6 +9,10 @@ step away, equal cells meet, and their members are verified on the bits.
 Only distinct fingerprints are dealt. A cell with few members is compared pair by pair. Of a crowded
 one, members go on to a second grid of the same kind with segments of one bit: there a cell holds
 at most 65 fingerprints, all within two bits of each other, so a chain through them is enough.
+
+Two bits are about what one changed word in a hundred leaves. To keep one of each group of near
+copies, `one_of_each` also takes fingerprints of small samples of a text's five-word shingles, which
+stay equal where the sample has no edit. Texts with an equal one are verified on all their shingles.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import signed, unsigned, utf8
+from millrace.llm.common import Words, chunks, mix, rolling, signed, unsigned, utf8
 from millrace.llm.graph import components
 from millrace.session import materialize
 
@@ -31,6 +35,16 @@ RADIUS = 2
 SEGMENT_BITS = 4
 #: A cell with more members is crowded.
 CROWDED = 8
+#: Near copies share so large a part of all their distinct shingles of so many words.
+SIMILARITY = 0.8
+NEAR_SHINGLE = 5
+#: Samples of a text's shingles, and shingles of a sample. A pair at SIMILARITY has an equal
+#: fingerprint with a probability of 1 - (1 - 0.8**4)**16 = 0.9998.
+SAMPLES = 16
+SAMPLE = 4
+#: Up to so many ids of texts to verify are sent to all tasks; beyond, texts are dealt out to them.
+BROADCAST_IDS = 1_000_000
+_SHINGLE_BASE = 0xD6E8FEB86659FD93
 
 _NIBBLE = np.array([bin(i).count("1") for i in range(16)], dtype=np.int64)
 #: Shingles whose bits are counted at once.
@@ -190,12 +204,108 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     )
 
 
+def _shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the distinct shingles of each text, sorted; of all words if there are fewer."""
+    words = Words(texts, lower=True)
+    owner, size = words.text_of(), np.diff(words.bound)
+    runs = rolling(words.key, NEAR_SHINGLE, _SHINGLE_BASE)
+    at = np.flatnonzero(np.arange(len(runs)) <= (words.bound[1:][owner] - NEAR_SHINGLE)[: len(runs)])
+    owners, hashes = [owner[at]], [runs[at]]
+    for d in np.flatnonzero((size > 0) & (size < NEAR_SHINGLE)).tolist():
+        owners.append(np.array([d]))
+        hashes.append(rolling(words.key[words.bound[d] : words.bound[d + 1]], int(size[d]), _SHINGLE_BASE))
+    owner, found = np.concatenate(owners), np.concatenate(hashes)
+    order = np.lexsort((found, owner))
+    owner, found = owner[order], found[order]
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])
+    return owner[new], found[new]
+
+
+def _sample_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, key) for the fingerprint of each sample of each text, alone and together with the next sample's.
+
+    A shingle belongs to the sample its hash names; of those the ones of least hash are taken.
+    """
+    owner, found = _shingles(texts)
+    part = owner * SAMPLES + (found % np.uint64(SAMPLES)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part, found = part[order], found[order]
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, dtype=np.int64)
+    rank = np.arange(len(part)) - np.repeat(first, np.diff(np.append(first, len(part))))
+    part, found = part[rank < SAMPLE], found[rank < SAMPLE]
+    prints, held = np.zeros((len(texts), SAMPLES), dtype=np.uint64), np.zeros((len(texts), SAMPLES), dtype=bool)
+    if len(part):
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        bits = np.unpackbits(mix(found).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total = np.add.reduceat(bits, first, axis=0, dtype=np.int64)
+        half = np.diff(np.append(first, len(part)))[:, None]
+        packed = np.packbits(2 * total > half, axis=1, bitorder="little")
+        prints.ravel()[part[first]] = packed.view("<u8")[:, 0]
+        held.ravel()[part[first]] = True
+    alone = mix(prints + np.arange(SAMPLES, dtype=np.uint64))
+    both = mix(alone * np.uint64(0x9E3779B97F4A7C15) + np.roll(alone, -1, axis=1))
+    pair_held = held & np.roll(held, -1, axis=1)
+    owner = np.concatenate([np.nonzero(held)[0], np.nonzero(pair_held)[0]])
+    return owner, np.concatenate([alone[held], both[pair_held]])
+
+
+def near_links(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(a, b), a < b, of documents among `ids` (doc_id) that share SIMILARITY of all their shingles.
+
+    Documents with an equal key meet, and each is verified against the least of them on all shingles
+    of both texts, so a group costs as many comparisons as it has members. That the members of a group
+    are like the least one is likelier the fewer they are, so each sample has a second, rarer key.
+    """
+
+    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
+            for lo, hi in chunks(texts):
+                owner, key = _sample_keys(texts[lo:hi])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), doc_ids.take(pa.array(owner + lo))], names=["key", "doc_id"])
+
+    def verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, own = None, np.empty(0, dtype=np.uint64)
+        for batch in batches:
+            a, b, first, second = batch.columns
+            near = []
+            for i, one in enumerate(a.to_pylist()):
+                if one != known:
+                    known, own = one, _shingles([first[i].as_py()])[1]
+                other = _shingles([second[i].as_py()])[1]
+                shared = len(np.intersect1d(own, other, assume_unique=True))
+                near.append(shared >= SIMILARITY * (len(own) + len(other) - shared))
+            mask = pa.array(near, pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
+
+    texts = docs.select("doc_id", utf8("text").alias("text")).filter(F.col("doc_id").isNotNull())
+    named = texts.mapInArrow(keys, "key long, doc_id long").join(ids, "doc_id", "left_semi")
+    named = materialize(named.select("key", "doc_id"), "sample_keys")
+    met = named.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).filter(F.col("a") < F.col("last"))
+    pairs = named.join(met.select("key", "a"), "key").filter(F.col("doc_id") > F.col("a"))
+    pairs = materialize(pairs.select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    few = wanted.count() <= BROADCAST_IDS
+    shown = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    shown = materialize(shown, "texts")
+    first, second = (shown.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b"))
+    both = pairs.join(second, "b").join(first, "a")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` with the row of least doc_id of each component.
+    """`docs` with one row of each group of near-duplicates, that of least doc_id.
 
-    Of repeated rows of that doc_id one stays. A row without doc_id can't be told from others and stays.
+    Documents are linked by their fingerprints, as in `simhash_components`; those that are left are
+    then linked if they share SIMILARITY of all their distinct shingles of NEAR_SHINGLE words. Of
+    repeated rows of one doc_id one stays. A row without doc_id can't be told from others and stays.
+    An empty table stays empty. Columns are as before, whatever their names.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     first = simhash_components(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = materialize(first, "first")
+    near = components(near_links(docs, first), "near")
+    copies = near.filter(F.col("node") != F.col("root")).select(F.col("node").alias("doc_id"))
+    kept = docs.join(first.join(copies, "doc_id", "left_anti"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*columns).union(docs.filter(F.col("doc_id").isNull()))
