@@ -134,15 +134,15 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 
 class _Space:
-    """Nodes with their vectors, dealt into buckets."""
+    """Nodes with their vectors, dealt into `buckets`, or more if those would hold over TASK_BYTES in a round."""
 
     def __init__(self, nodes: DataFrame, buckets: int):
-        self.buckets = buckets
         norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
         count, longest, self.width = nodes.agg(F.count(F.lit(1)), F.max(norm), F.max(F.size("vector"))).first()
         self.count, self.longest = count, longest
-        self.nodes = nodes.select(bucket_of(buckets, "id").alias("bucket"), "id", "vector")
         sent = self.count * 2 * DEGREE * ((self.width or 0) + 32)
+        self.buckets = max(buckets, sent // TASK_BYTES)
+        self.nodes = nodes.select(bucket_of(self.buckets, "id").alias("bucket"), "id", "vector")
         self.tasks = max(2 * nodes.sparkSession.sparkContext.defaultParallelism, sent // TASK_BYTES)
 
     def fewer(self, df: DataFrame) -> DataFrame:
@@ -257,15 +257,17 @@ def _met(space: _Space, graph: DataFrame) -> DataFrame:
     """
     buckets = space.buckets
 
-    def arrows(table: pa.Table) -> pa.Table:
-        owner, other, score, fresh = _flat(table)
-        new = np.concatenate([fresh, fresh])
-        # (at, id, score, back): id is seen from at; back marks the reverse direction
-        return pa.table({
-            "at": np.concatenate([owner, other]), "id": np.concatenate([other, owner]),
-            "score": np.concatenate([score, score]), "fresh": pa.array(new),
-            "back": np.concatenate([np.zeros(len(owner), dtype=np.int8), np.ones(len(owner), dtype=np.int8)]),
-        })
+    def arrows(back: bool) -> DataFrame:
+        """(at, id, score, fresh): id is seen from at, in the direction of the lists or back."""
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                owner, other, score, fresh = _flat(pa.Table.from_batches([batch]))
+                at, seen = (other, owner) if back else (owner, other)
+                columns = [pa.array(x) for x in (at, seen, score, fresh)]
+                yield pa.RecordBatch.from_arrays(columns, names=["at", "id", "score", "fresh"])
+
+        return graph.mapInArrow(run, "at long, id long, score float, fresh byte")
 
     def send(links: pa.Table, nodes: pa.Table) -> pa.Table:
         ids = nodes["id"].to_numpy()
@@ -278,12 +280,10 @@ def _met(space: _Space, graph: DataFrame) -> DataFrame:
             "vector": _packed(x[row]), "scale": scale[row], "worst": worst[row].astype(np.float32), "fresh": links["fresh"],
         })
 
-    links = graph.mapInArrow(
-        lambda batches: (b for batch in batches for b in arrows(pa.Table.from_batches([batch])).to_batches()),
-        "at long, id long, score float, fresh byte, back byte",
-    )
-    nearest = Window.partitionBy("at", "back").orderBy(F.desc("score"), "id")
-    links = links.withColumn("rank", F.row_number().over(nearest)).filter((F.col("back") == 0) | (F.col("rank") <= REVERSE))
+    # the limit on the rank is applied before the shuffle too, so a node that is in very many lists gathers few rows
+    nearest = Window.partitionBy("at").orderBy(F.desc("score"), "id")
+    reverse = arrows(back=True).withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= REVERSE)
+    links = arrows(back=False).drop("score").union(reverse.select("at", "id", "fresh"))
     links = links.groupBy("at", "id").agg(F.max("fresh").alias("fresh"))
     links = space.fewer(links.withColumn("bucket", bucket_of(buckets, "id")))
 
