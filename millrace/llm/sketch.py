@@ -17,6 +17,8 @@ SHINGLE = 5
 K = 128
 #: Documents that are put in order together.
 BUCKET_ROWS = 2000
+#: Ranges of doc_id at most, as their bounds are part of the plan; beyond, ranges grow and are sorted on disk.
+MOST_RANGES = 50_000
 SALTS = 64
 
 _SPACE = " \t\n\x0b\f\r"
@@ -101,8 +103,8 @@ def with_next(docs: DataFrame, add=None) -> DataFrame:
     """(key, text, next) of each row, `next` the (text, extras) that follow by doc_id; the first follows the last.
 
     `add` maps names to columns computed from text, once per row; they are found in the row and in
-    `next`. Rows are dealt into ranges of doc_id of about BUCKET_ROWS rows, so no task holds more
-    than its ranges. The first row of each range is given to the range before it as well. A null
+    `next`. Rows are dealt into ranges of doc_id of about BUCKET_ROWS rows, or more if that were
+    over MOST_RANGES, so no task holds more than its ranges. The first row of each range is given to the range before it as well. A null
     doc_id comes first; rows of equal doc_id are in the order of a hash of their text.
     """
     add = add or {}
@@ -111,7 +113,7 @@ def with_next(docs: DataFrame, add=None) -> DataFrame:
     )
     ids = docs.select(F.coalesce("doc_id", F.lit(_LEAST)).alias("key"))
     count, least = ids.agg(F.count(F.lit(1)), F.min("key")).first()
-    n = max(1, -(-count // BUCKET_ROWS))
+    n = min(MOST_RANGES, max(1, -(-count // BUCKET_ROWS)))
     cuts = [least] if count else [0]
     if n > 1:
         shares = F.split(F.lit(",".join(repr(i / n) for i in range(1, n))), ",").cast("array<double>")
