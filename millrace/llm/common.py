@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of text, about, that a bucket of documents holds at most.
+BUCKET_BYTES = 32 << 20
 #: Bytes of text that are turned into numpy arrays at once.
 CHUNK_BYTES = 1 << 20
 
@@ -30,6 +32,12 @@ def bucket_of(buckets: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
+def text_buckets(docs: DataFrame, least: int) -> int:
+    """Buckets for the documents: so many that each holds about BUCKET_BYTES of text, and `least` at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(least, -(-size // BUCKET_BYTES))
+
+
 def utf8(column: str) -> Column:
     """A text as bytes; a null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Words, bucket_of, chunks, lower_ascii, shuffle_partitions, signed
+from millrace.llm.common import Words, bucket_of, chunks, lower_ascii, shuffle_partitions, signed, text_buckets
 from millrace.session import materialize
 
 #: Bytes of text whose words are counted together before they are shuffled.
@@ -305,7 +305,7 @@ def score(docs: DataFrame, model: SubwordModel) -> DataFrame:
     those not learned from with 0; score only tables that were passed to `train`. Repeated rows are
     scored each for itself. Other columns are ignored, whatever their names.
     """
-    buckets = shuffle_partitions(docs.sparkSession)
+    buckets = text_buckets(docs, shuffle_partitions(docs.sparkSession))
     dealt = docs.select(
         "doc_id", lower_ascii(F.coalesce("text", F.lit(""))).cast("binary").alias("text"),
         bucket_of(buckets, "doc_id", "text").alias("bucket"),

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Words, bucket_of, chunks, rolling, shuffle_partitions, signed, unsigned, utf8
+from millrace.llm.common import Words, bucket_of, chunks, rolling, shuffle_partitions, signed, text_buckets, unsigned, utf8
 
 #: Words of a window; a repeat is at least so long.
 WINDOW = 35
@@ -151,7 +151,7 @@ def _cut(docs: DataFrame, window: int, anchor: int, schema: str, keep: list[str]
 
 
 def _buckets(docs: DataFrame) -> int:
-    return 2 * shuffle_partitions(docs.sparkSession)
+    return text_buckets(docs, 2 * shuffle_partitions(docs.sparkSession))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:

@@ -71,6 +71,39 @@ def test_simhash_components_equal_brute_force(docs, nothing):
     assert simhash_components(nothing).count() == 0
 
 
+def test_one_of_each_group_of_near_copies_stays(spark, nothing):
+    own = [[f"w{(i * 7 + j) % 97}x{i}" for j in range(30 + 90 * i)] for i in range(4)]
+
+    def edited(words, *places):
+        return " ".join("new" if i in places else w for i, w in enumerate(words))
+
+    texts = [" ".join(w) for w in own] + [edited(own[i], 0) for i in range(4)]
+    texts += [edited(own[3], *range(n)) for n in range(2, 60, 3)]  # a chain of copies, ever further from the first
+    texts += [edited(own[2], *range(5, 210, 9)), "w1 w2", "w1 w2", "w1 w3", "", None]
+    rows = [(i, t, "en", "s", 0, 0, "k", "r") for i, t in enumerate(texts)]
+    table = spark.createDataFrame([*rows, rows[1], (None, texts[0], None, None, None, None, None, None)], SCHEMA)
+
+    def shingles(i):
+        w = (texts[i] or "").lower().split()
+        return {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+
+    def alike(i, j):
+        a, b = shingles(i), shingles(j)
+        return bool(a | b) and len(a & b) >= 0.8 * len(a | b)
+
+    first = simhash_components(table.filter("doc_id is not null")).filter("doc_id = component_id")
+    first = sorted({r.doc_id for r in first.collect()})
+    least = {i: i for i in first}
+    for _ in first:
+        for i in first:
+            least[i] = min(least[j] for j in first if j == i or alike(i, j))
+    got = [r.doc_id for r in one_of_each(table).collect()]
+    assert got.count(None) == 1
+    assert sorted(i for i in got if i is not None) == sorted(set(least.values()))
+    assert not {4, 5, 6, 7} & set(got) and 28 in got
+    assert one_of_each(nothing).count() == 0
+
+
 def test_crowded_cells_keep_every_link(spark):
     random = np.random.default_rng(5)
     near = [0xF0F0] + [0xF0F0 ^ (1 << int(a)) ^ (1 << int(b)) for a, b in random.integers(0, 60, (300, 2))]
