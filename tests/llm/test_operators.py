@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from millrace.llm import byte_bpe, html_extract, language_id, lm_score, neighbours, packing, queries, sketch, url_filter
+from millrace.llm import byte_bpe, common, html_extract, language_id, lm_score, neighbours, packing, queries, sketch, url_filter
 from millrace.llm.simhash_dedup import fingerprint, links, one_of_each, simhash_components
 from millrace.llm.substring_dedup import substring_dedup, without_repeats
 from pyspark.sql import functions as F
@@ -195,6 +195,21 @@ def test_fingerprints_of_texts_and_edits(docs, texts, nothing):
     assert sketch.fingerprint_edits(nothing).count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_fingerprints_of_edits_do_not_depend_on_the_ranges(docs, monkeypatch, most):
+    want = sorted(map(tuple, sketch.fingerprint_edits(docs).collect()))
+    monkeypatch.setattr(sketch, "BUCKET_ROWS", 2)
+    monkeypatch.setattr(sketch, "MOST_RANGES", most)
+    assert sorted(map(tuple, sketch.fingerprint_edits(docs).collect())) == want
+
+
+def test_buckets_follow_the_bytes_of_text(docs, nothing, monkeypatch):
+    want = sorted(map(tuple, substring_dedup(docs).collect()))
+    monkeypatch.setattr(common, "BUCKET_BYTES", 500)
+    assert common.text_buckets(docs, 1) > 10 and common.text_buckets(nothing, 3) == 3
+    assert sorted(map(tuple, substring_dedup(docs).collect())) == want
+
+
 def test_sketches_merge_and_estimate(spark):
     numbers = lambda a, b: " ".join(f"t{i}" for i in range(a, b))
     df = spark.createDataFrame([("g", numbers(0, 3000)), ("g", numbers(2000, 5000)), ("h", None)], "g string, text string")
@@ -228,7 +243,9 @@ PAGE = ('<html><head><title>t</title><script>var a="</p>";</script></head><body>
         '{open}<h1>Head {i}</h1><p>One&amp;two<br> x{i} {fill}<p>Last <b>bold</b>{close}<div id="comments">hi</div><footer>&copy;</footer>')
 
 
-def test_html_main_text(spark):
+@pytest.mark.parametrize("limit", [html_extract.BROADCAST_BYTES, 0])
+def test_html_main_text(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_extract, "BROADCAST_BYTES", limit)
     fill = "word " * 60
     rows = [(i, f"http://a.org/{i}", PAGE.format(i=i, fill=fill, open="<article>", close="</article>"), "?") for i in range(4)]
     rows += [(10 + i, f"http://b.org/{i}", PAGE.format(i=i, fill=fill, open='<div class="body">', close="</div>"), "?") for i in range(4)]
