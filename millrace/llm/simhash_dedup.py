@@ -12,7 +12,8 @@ at most 65 fingerprints, all within two bits of each other, so a chain through t
 
 Two bits are about what one changed word in a hundred leaves. To keep one of each group of near
 copies, `one_of_each` also takes fingerprints of small samples of a text's five-word shingles, which
-stay equal where the sample has no edit. Texts with an equal one are verified on all their shingles.
+stay equal where the sample has no edit. Texts with an equal one are verified on all their shingles,
+first against one of them, then, where that leaves several components, whichever share rare shingles.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Words, chunks, mix, rolling, signed, unsigned, utf8
@@ -250,22 +251,10 @@ def _sample_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.concatenate([alone[held], both[pair_held]])
 
 
-def near_links(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(a, b), a < b, of documents among `ids` (doc_id) that share SIMILARITY of all their shingles.
-
-    Documents with an equal key meet, and each is verified against the least of them on all shingles
-    of both texts, so a group costs as many comparisons as it has members. That the members of a group
-    are like the least one is likelier the fewer they are, so each sample has a second, rarer key.
-    """
-
-    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for lo, hi in chunks(texts):
-                owner, key = _sample_keys(texts[lo:hi])
-                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), doc_ids.take(pa.array(owner + lo))], names=["key", "doc_id"])
+def _verified(shown: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of `pairs` (a, b) that share SIMILARITY of all shingles of their texts in `shown` (doc_id, text)."""
 
-    def verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, own = None, np.empty(0, dtype=np.uint64)
         for batch in batches:
             a, b, first, second = batch.columns
@@ -279,19 +268,102 @@ def near_links(docs: DataFrame, ids: DataFrame) -> DataFrame:
             mask = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
+    first, second = (shown.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b"))
+    both = pairs.join(second, "b").join(first, "a")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def _prefix_pairs(shown: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b), a < b, of `members` (doc_id, root) of different roots: all that can share SIMILARITY of their shingles.
+
+    A prefix-filter join. With the shingles of each text in one order, rare ones first, two texts of
+    sizes m <= n that share s of them, s >= SIMILARITY / (1 + SIMILARITY) * (m + n), have one in common
+    among the first m - s + 1 and n - s + 1. Their first common one leaves both at least s shingles.
+    A shingle of one root only makes no pair, and its commonest root is not joined with itself.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for lo, hi in chunks(texts):
+                owner, found = _shingles(texts[lo:hi])
+                at, size = pa.array(owner + lo), np.bincount(owner, minlength=hi - lo)[owner]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(size.astype(np.int64)), pa.array(signed(found))],
+                    names=["doc_id", "root", "size", "token"],
+                )
+
+    few = members.count() <= BROADCAST_IDS
+    texts = shown.join(F.broadcast(members) if few else members, "doc_id").select("doc_id", "root", "text")
+    tokens = materialize(texts.mapInArrow(run, "doc_id long, root long, size long, token long"), "shingles")
+    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    order = Window.partitionBy("doc_id").orderBy("n", "token")
+    alone = F.col("size") - F.count(F.lit(1)).over(Window.partitionBy("doc_id"))  # shingles that no other text has
+    placed = tokens.join(common, "token").withColumn("at", alone + F.row_number().over(order) - 1)
+    least = lambda share: F.ceil(share * F.col("size") - 1e-6)
+    share = SIMILARITY / (1 + SIMILARITY)
+    prefix = placed.filter(F.col("at") <= F.col("size") - least(SIMILARITY)).select(
+        "token", "doc_id", "root", "size", "at", (F.col("at") <= F.col("size") - least(2 * share)).alias("short")
+    )
+    prefix = materialize(prefix, "prefix")
+    roots = prefix.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = roots.groupBy("token").agg(F.max_by("root", "n").alias("main"), F.count(F.lit(1)).alias("roots"))
+    prefix = prefix.join(main.filter(F.col("roots") > 1).drop("roots"), "token")
+    side = lambda rows, x: rows.select("token", *(F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "root", "size", "at")))
+    other, short = F.col("root") != F.col("main"), F.col("short")
+    left = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    can = (
+        (F.col("root_a") != F.col("root_b"))
+        & (F.col("size_a") <= F.col("size_b"))
+        & (left >= share * (F.col("size_a") + F.col("size_b")) - 1e-6)
+    )
+    met = [
+        side(prefix.filter(short & one), "a").join(side(prefix.filter(two), "b"), "token").filter(can)
+        for one, two in ((other, F.lit(True)), (~other, other))
+    ]
+    pairs = met[0].union(met[1]).select(
+        F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")
+    )
+    return pairs.distinct()
+
+
+def near_links(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(a, b), a < b, of documents among `ids` (doc_id): enough of those that share SIMILARITY of all their shingles.
+
+    Documents with an equal key meet, and each is verified against the least of them on all shingles
+    of both texts, so a group costs as many comparisons as it has members. A group that these links
+    make one component is closed. In the others, members are mostly unlike the least one, as where many
+    texts share a passage; all their members are joined on rare shingles, and what can be alike without
+    being in one component yet is verified too.
+    """
+
+    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
+            for lo, hi in chunks(texts):
+                owner, key = _sample_keys(texts[lo:hi])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(key)), doc_ids.take(pa.array(owner + lo))], names=["key", "doc_id"])
+
     texts = docs.select("doc_id", utf8("text").alias("text")).filter(F.col("doc_id").isNotNull())
     named = texts.mapInArrow(keys, "key long, doc_id long").join(ids, "doc_id", "left_semi")
     named = materialize(named.select("key", "doc_id"), "sample_keys")
     met = named.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).filter(F.col("a") < F.col("last"))
-    pairs = named.join(met.select("key", "a"), "key").filter(F.col("doc_id") > F.col("a"))
-    pairs = materialize(pairs.select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
+    named = materialize(named.join(met.select("key", "a"), "key"), "met")
+    pairs = named.filter(F.col("doc_id") > F.col("a")).select("a", F.col("doc_id").alias("b")).distinct()
+    pairs = materialize(pairs, "pairs")
     wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     few = wanted.count() <= BROADCAST_IDS
     shown = texts.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     shown = materialize(shown, "texts")
-    first, second = (shown.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in ("a", "b"))
-    both = pairs.join(second, "b").join(first, "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long")
+    found = materialize(_verified(shown, pairs), "star")
+    roots = components(found, "star").withColumnRenamed("node", "doc_id")
+    rooted = named.join(F.broadcast(roots) if few else roots, "doc_id", "left")
+    rooted = rooted.select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    of_key = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    unclosed = of_key.filter(F.col("low") < F.col("high")).select("key")
+    members = materialize(rooted.join(unclosed, "key", "left_semi").select("doc_id", "root").distinct(), "members")
+    rest = materialize(_prefix_pairs(shown, members), "rest")
+    return found.union(_verified(shown, rest))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ import pytest
 
 import corpus_pipeline
 from millrace.llm import byte_bpe, common, html_extract, language_id, lm_score, neighbours, packing, queries, sketch, url_filter
-from millrace.llm.simhash_dedup import fingerprint, links, one_of_each, simhash_components
+from millrace.llm.graph import components
+from millrace.llm.simhash_dedup import fingerprint, links, near_links, one_of_each, simhash_components
 from millrace.llm.substring_dedup import substring_dedup, without_repeats
 from pyspark.sql import functions as F
 
@@ -104,6 +105,31 @@ def test_one_of_each_group_of_near_copies_stays(spark, nothing):
     assert one_of_each(nothing).count() == 0
 
 
+def test_near_copies_among_many_texts_with_a_long_passage(spark):
+    passage = " ".join(f"p{i}" for i in range(400))
+
+    def text(i, shared):  # 0.85 of the shingles are the passage's; two of equal `shared` have 0.802 in common
+        return " ".join([passage, *(f"s{shared}x{j}" for j in range(17)), *(f"y{i}x{j}" for j in range(51))])
+
+    texts = [text(i, i) for i in range(60)] + [text(i, 1000 + i // 2) for i in range(60, 140)]
+    # copies of one text with ever more of the passage, and one text twice as long
+    texts += [f"{texts[7]} " + " ".join(f"m{j}" for j in range(n)) for n in (20, 60, 90)] + [f"{texts[9]} {texts[8]}"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+
+    sets = [shingles(t) for t in texts]
+    alike = {
+        (a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    }
+    found = {(r.a, r.b) for r in near_links(table, table.select("doc_id")).collect()}
+    assert len(alike) > 40 and found <= alike
+    root = {r.node: r.root for r in components(spark.createDataFrame(sorted(found), "a long, b long")).collect()}
+    assert {(a, b) for a, b in alike if root.get(a) != root.get(b) or a not in root} == set()
+
+
 def test_crowded_cells_keep_every_link(spark):
     random = np.random.default_rng(5)
     near = [0xF0F0] + [0xF0F0 ^ (1 << int(a)) ^ (1 << int(b)) for a, b in random.integers(0, 60, (300, 2))]
