@@ -283,6 +283,20 @@ def test_html_main_text(spark, monkeypatch, limit):
     assert got[20].text == got[21].text == "" and got[22].text == "alone & broken"
 
 
+@pytest.mark.parametrize("page", [
+    "<p>One<p><svg class='icon'/>two<p>three", "<p>One<p><svg class='icon'><path d='M0'></svg>two<p>three",
+    "<svg class='icon'><p>One<p>two<p>three", "<p>One<iframe src='x' /><p>two<p>three<iframe></iframe>",
+    "<p>One<textarea/><p>two<p>three", "<p>One<script>if (a </b>) '<p>no'</script ><p>two<p>three<style>x</style>",
+    "<html><body class='has-sidebar'><p>One<p>two<p>three", "<body class='sidebar'><p>One<p>two<p>three",
+    "<div class='content with-sidebar'><p>One<p class='share-price'>two<p>three</div><div class='ad sidebar'>no</div>",
+    "<section id='comments-closed'><p>One<p>two<p>three</section><div id=comments>no</div>",
+    "<div class='widget'><article><p>One<p class='notice'>two<p>three</article></div><p>no", "<div class='social'><p>One<p>two<p>three",
+])
+def test_html_keeps_all_of_an_article(spark, page):
+    table = spark.createDataFrame([(1, "http://a.org/1", page)], "page_id long, url string, html string")
+    assert html_extract.extract(table).first().text == "One\ntwo\nthree"
+
+
 def test_lm_scores(docs, nothing):
     model = lm_score.train(docs, F.col("doc_id") % 2 == 0, queries.PIECES)
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
