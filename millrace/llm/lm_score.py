@@ -35,10 +35,8 @@ from millrace.session import materialize
 COUNT_BYTES = 8 << 20
 #: Pseudo-counts that the ranks of the existing vocabulary are worth, for each piece.
 PRIOR = 0.02
-#: Distinct words, about, that set the scores roughly, in so many rounds and tasks.
-FIRST_WORDS = 50_000
-FIRST_ROUNDS = 6
-FIRST_TASKS = 16
+#: Rounds of expectation and maximization, each over all distinct words.
+ROUNDS = 7
 #: Words of a text after which its own counts weigh as much as the model of all texts.
 CONCENTRATION = 2000.0
 #: Fixed value: the sign of a word's beginning in vocabularies of this kind.
@@ -195,12 +193,8 @@ def _expected_counts(words: DataFrame, lattice: Lattice) -> np.ndarray:
     return counts
 
 
-def _learned_lattice(seen: DataFrame, distinct: int, vocabulary: str) -> tuple[Lattice, float]:
-    """The lattice learned from distinct words, and the log probability of the end.
-
-    Rounds of expectation and maximization on about FIRST_WORDS words set the scores roughly; the
-    last round is over all words.
-    """
+def _learned_lattice(seen: DataFrame, vocabulary: str) -> tuple[Lattice, float]:
+    """The lattice learned from distinct words in ROUNDS rounds, and the log probability of the end."""
     import sentencepiece
 
     own = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
@@ -223,13 +217,10 @@ def _learned_lattice(seen: DataFrame, distinct: int, vocabulary: str) -> tuple[L
         with np.errstate(divide="ignore"):
             return Lattice(spelled, np.log(weight / weight.sum()), byte_ids)
 
-    part = 1 << 20
-    share = F.pmod(F.xxhash64("word"), F.lit(part)) < int(part * min(1.0, FIRST_WORDS / max(distinct, 1)))
-    some = materialize(seen.select("word").filter(share), "some_words").repartition(FIRST_TASKS)
     weight = prior
-    for words in [some] * FIRST_ROUNDS + [seen]:
+    for _ in range(ROUNDS):
         now = lattice(weight)
-        counts = _expected_counts(words, now)
+        counts = _expected_counts(seen, now)
         weight = prior.copy()
         held = now.piece >= 0
         weight[now.piece[held]] += counts[held]
@@ -250,7 +241,7 @@ def train(docs: DataFrame, learn: Column, vocabulary: str) -> SubwordModel:
         F.coalesce(F.sum("times"), F.lit(0)), F.count(F.lit(1)),
         F.count_if(F.col("times") == 1), F.count_if(F.col("times") == 2),
     ).first()
-    lattice, end_log = _learned_lattice(seen.filter(F.length("word") > 0), distinct, vocabulary)
+    lattice, end_log = _learned_lattice(seen.filter(F.length("word") > 0), vocabulary)
     discount = one / (one + 2 * two) if one else 0.5
     discount = min(max(discount, 0.05), 0.95)
     return SubwordModel(words, total, distinct, discount, lattice, end_log)

@@ -311,6 +311,14 @@ def test_lm_scores(docs, nothing):
     assert lm_score.score(nothing, lm_score.train(nothing, F.lit(True), queries.PIECES)).count() == 0
 
 
+def test_every_round_learns_from_all_words(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{j}" for j in range(i, 60_000, 50))) for i in range(50)]
+    seen, counted = [], lm_score._expected_counts
+    monkeypatch.setattr(lm_score, "_expected_counts", lambda words, lattice: (seen.append(words.count()), counted(words, lattice))[1])
+    lm_score.train(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True), queries.PIECES)
+    assert set(seen) == {60_000}
+
+
 def test_words_of_a_text_are_drawn_from_an_urn():
     random, end = np.random.default_rng(5), np.log10(0.1)
     p = np.array([0.5, 0.3, 0.1])
