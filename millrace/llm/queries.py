@@ -6,15 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import oracle, word_bpe
 from millrace.llm.byte_bpe import digests, encode, read_ranks
 from millrace.llm.common import read
 from millrace.llm.html_extract import extract
 from millrace.llm.language_id import fit, identify, remainder
 from millrace.llm.lm_score import score, train
+from millrace.llm.merkle import manifest
 from millrace.llm.neighbours import nearest_neighbours
 from millrace.llm.packing import pack_documents
 from millrace.llm.simhash_dedup import simhash_components
 from millrace.llm.sketch import fingerprint_edits
+from millrace.llm.spelling import spelling_variants
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.url_filter import judge_urls, rule_table
 
@@ -29,6 +32,7 @@ PACK_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +82,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of all texts that occurs often enough, with the more frequent spelling it stands for."""
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's leaf, proof and root, and whether the tampered leaf still leads to the root."""
+    return manifest(read(spark, sf_dir, "documents")).drop("proof")
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of each text's ids and of what they decode to."""
+    return word_bpe.digests(word_bpe.encode(read(spark, sf_dir, "documents"), WORD_BPE), WORD_BPE)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -89,6 +108,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_html_extraction": op9_html_extraction,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_word_bpe": op13_word_bpe,
 }
 
 ORACLE = {
@@ -110,4 +132,6 @@ WITH rules(verdict, rule_host, rule_path) AS (
 SELECT page_id, host, path, r.rule AS rule, coalesce(r.verdict, 'allow') AS verdict
 FROM split LEFT JOIN best USING (n)
 """,
+    "op11_spelling_variants": oracle.SPELLING,
+    "op12_merkle_manifest": oracle.MERKLE,
 }
