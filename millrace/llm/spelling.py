@@ -40,6 +40,8 @@ FILTER_BYTES = 64 << 20
 BITS = 16
 #: 64-byte blocks of a filter that one task builds.
 PIECE_BLOCKS = 1 << 14
+#: Words whose edits one task probes, about.
+TASK_WORDS = 20_000
 #: Probes that are hashed at once.
 PROBES = 1 << 19
 
@@ -204,13 +206,15 @@ def near_pairs(words: DataFrame, most_bytes: int = FILTER_BYTES) -> DataFrame:
     """(word, edit): pairs of distinct `word`s one edit apart, each once; needs letters up to U+00FF."""
     spark = words.sparkSession
     counts = {r.length: r.n for r in words.groupBy(F.length("word").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    tasks = max(spark.sparkContext.defaultParallelism, sum(counts.values()) // TASK_WORDS)
     found = None
     for group in passes(counts, most_bytes):
         bits = _filters(words, group)
         shards = {shard.length: shard for shard, _ in group}
         lengths = sorted({own for length in shards for own in (length, length + 1)} & set(counts))
         prober = _prober(shards, spark.sparkContext.broadcast(bits))
-        probed = words.filter(F.length("word").isin(lengths)).select("word").mapInArrow(prober, "word string, edit string")
+        own = words.filter(F.length("word").isin(lengths)).select("word").repartition(tasks)
+        probed = own.mapInArrow(prober, "word string, edit string")
         found = probed if found is None else found.union(probed)
     if found is None:
         return words.select("word", F.col("word").alias("edit")).limit(0)
