@@ -314,7 +314,10 @@ def test_lm_scores(docs, nothing):
 def test_every_round_learns_from_all_words(spark, monkeypatch):
     rows = [(i, " ".join(f"w{j}" for j in range(i, 60_000, 50))) for i in range(50)]
     seen, counted = [], lm_score._expected_counts
-    monkeypatch.setattr(lm_score, "_expected_counts", lambda words, lattice: (seen.append(words.count()), counted(words, lattice))[1])
+    monkeypatch.setattr(
+        lm_score, "_expected_counts",
+        lambda blocks, *rest: (seen.append(blocks.agg(F.sum("size")).first()[0]), counted(blocks, *rest))[1],
+    )
     lm_score.train(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True), queries.PIECES)
     assert set(seen) == {60_000}
 
@@ -347,6 +350,43 @@ def test_the_lattice_sums_over_all_segmentations():
     assert expected.sum() == pytest.approx((2 * 0.04 + 2 * 0.03 + 3 * 0.012) / p)
 
 
+def test_stored_lattices_equal_a_sum_over_all_segmentations(spark):
+    random = np.random.default_rng(2)
+    letters = ["▁", "a", "b", "ab", "ba", "aba", "▁a", "▁ab", "bab"]
+    ids = list(range(len(letters), len(letters) + 256))
+    logs = np.log(random.dirichlet(np.ones(len(letters) + 256)))
+    lattice = lm_score.Lattice([*letters, *[""] * 256], logs, ids)
+    words = ["a", "ab", "abab", "é", "abéba", "bbbbbb", "ababababab", "ca", "c"]
+
+    def segmentations(text):
+        if not text:
+            yield 0.0, Counter()
+        for n in range(1, min(len(text), 3) + 1):
+            piece = text[:n]
+            if piece in letters:
+                own, used = logs[letters.index(piece)], Counter([letters.index(piece)])
+            elif n == 1:
+                own, used = sum(logs[ids[b]] for b in piece.encode()), Counter()
+            else:
+                continue
+            for rest, more in segmentations(text[n:]):
+                yield own + rest, used + more
+
+    total = np.zeros(len(logs))
+    for word, got in zip(words, lattice.word_logs(words), strict=True):
+        ways = list(segmentations(lm_score.START + word))
+        p = np.exp([w for w, _ in ways])
+        assert got == pytest.approx(np.log(p.sum()))
+        for way, (_, used) in zip(p, ways, strict=True):
+            for piece, n in used.items():
+                total[piece] += n * way / p.sum()
+    assert lattice.expected(words) == pytest.approx(total)
+    table = spark.createDataFrame([(w.encode(), i % 2) for i, w in enumerate([*words, ""])], "word binary, times long")
+    blocks = lm_score._walked(table.repartition(3), lattice)
+    assert {r.seen: r.n for r in blocks.groupBy("seen").agg(F.sum("size").alias("n")).collect()} == {True: 4, False: 5}
+    assert lm_score._expected_counts(blocks, logs, lattice.byte_ids) == pytest.approx(total)
+
+
 def test_neighbours_are_exact_on_small_tables(spark):
     random = np.random.default_rng(3)
     x = random.normal(size=(120, 8)).astype(np.float32)
