@@ -55,6 +55,24 @@ def dense_key(
     )
 
 
+def extend_key(
+    df: DataFrame, order: Sequence[str], key: str, known: DataFrame, within: Sequence[str]
+) -> DataFrame:
+    """The rows of `known` (`within`, `order` and `key`) and those of `df` it lacks, numbered from its highest key on.
+
+    Keys of `known` never change. New rows are found by an anti join in which NULLs equal each other, and
+    numbered as `dense_key` does; only the highest key of each value of `within` is gathered.
+    """
+    columns = [*within, *order]
+    fresh, held = df.select(*columns).alias("f"), known.select(*columns).alias("h")
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"h.{c}")) for c in columns]
+    added = dense_key(fresh.join(held, same, "left_anti"), order, key, within=within)
+    highest = known.groupBy(*within).agg(F.max(key).alias("_highest"))
+    shifted = added.join(F.broadcast(highest), list(within), "left")
+    number = (F.col(key) + F.coalesce("_highest", F.lit(0))).alias(key)
+    return known.select(*columns, F.col(key).cast("bigint")).unionByName(shifted.select(*columns, number))
+
+
 def occurrence_key(
     groups: DataFrame,
     order: Sequence[str],

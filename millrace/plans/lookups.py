@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.distinct import LEVELS, distinct_names
-from millrace.operators.keys import dense_key
+from millrace.operators.keys import dense_key, extend_key
 from millrace.registry import BY_NAME, BY_PATH, LOOKUPS, LookupSpec, check_mode, with_ancestors
 from millrace.session import materialize
 
@@ -17,9 +18,13 @@ def build_lookups(
     records: DataFrame,
     keys: Iterable[str] = tuple(LOOKUPS),
     mode: str = BY_PATH,
+    known: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The requested lookups and their parents, from a single pass over `records`.
 
+    `known` holds the same lookups as an earlier run built them: their rows and ids stay, whether their
+    names still occur or not, and new names are numbered from the highest id on.
+
     Ids are dense, start at 1 and follow the sorted names, so they depend on the
     data alone. A row needs its name and its parents' names present.
 
@@ -35,7 +40,11 @@ def build_lookups(
         names = _spread_cities(materialize(distinct_names(records, paths), "names"))
     else:
         names = distinct_names(records, paths)
-    numbered = _with_parent_id(dense_key(names, LEVELS, "id", within=["lookup"]), keys)
+    if known:
+        numbered = extend_key(names, LEVELS, "id", _known_names(known, keys), within=["lookup"])
+    else:
+        numbered = dense_key(names, LEVELS, "id", within=["lookup"])
+    numbered = _with_parent_id(numbered, keys)
     if len(keys) > 1:
         numbered = materialize(numbered, "lookups")
     return {key: _table(numbered, LOOKUPS[key]) for key in keys}
@@ -51,6 +60,20 @@ def _spread_cities(names: DataFrame) -> DataFrame:
     return names.where(~is_city).union(cities.select(*names.columns))
 
 
+def _known_names(known: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """(lookup, name, parent, grandparent, id) of lookups built before."""
+    parts = []
+    for key in keys:
+        names, up = [], key
+        while up:
+            names.append(F.col(LOOKUPS[up].name))
+            up = LOOKUPS[up].parent
+        names += [F.lit(None).cast("string")] * (len(LEVELS) - len(names))
+        columns = [column.alias(level) for column, level in zip(names, LEVELS, strict=True)]
+        parts.append(lookup_paths(known, key).select(F.lit(key).alias("lookup"), *columns, F.col(LOOKUPS[key].id).cast("bigint").alias("id")))
+    return reduce(DataFrame.union, parts)
+
+
 def _with_parent_id(numbered: DataFrame, keys: list[str]) -> DataFrame:
     """Add the id of the row one level up, for all hierarchies in one join.
 

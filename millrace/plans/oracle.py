@@ -169,6 +169,36 @@ def _values(views: dict[str, str]) -> str:
     ))
 
 
+_REJECTED = """
+SELECT kind, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT CASE WHEN Transaction_ID % 50 = 0 THEN 'Age' WHEN Transaction_ID % 35 = 0 THEN 'Total_Amount' ELSE 'record' END AS kind
+      FROM raw) k
+GROUP BY kind"""
+
+# ids of the first run's names, then those of the names it lacked
+_BRANDS_TWICE = """
+SELECT CAST(row_number() OVER (ORDER BY v < 'Brand#3', v) AS BIGINT) AS Brand_ID, v AS Brand_Name
+FROM (SELECT DISTINCT Product_Brand AS v FROM raw WHERE Product_Brand IS NOT NULL) d"""
+
+
+def _numbered_twice(columns: str, id: str) -> str:
+    """Distinct places with ids by name, those outside of the first run's countries behind."""
+    order = ", ".join(["Country = 'AMERICA'", *columns.split(", ")])
+    return f"SELECT {columns}, row_number() OVER (ORDER BY {order}) AS {id} FROM (SELECT DISTINCT {columns} FROM raw) d"
+
+
+_CITIES_TWICE = f"""
+SELECT CAST(City_ID AS INT) AS City_ID, City AS City_Name, CAST(State_ID AS INT) AS State_ID
+FROM ({_numbered_twice("City, State_Province, Country", "City_ID")}) c
+JOIN ({_numbered_twice("State_Province, Country", "State_ID")}) s USING (State_Province, Country)"""
+
+_CUSTOMERS_TWICE = """
+SELECT DISTINCT * REPLACE (CASE WHEN Customer_ID % 5 = 0 THEN 'new.' || Email ELSE Email END AS Email),
+       CASE WHEN Customer_ID % 3 = 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS Created_Date,
+       CASE WHEN Customer_ID % 3 = 0 OR Customer_ID % 5 = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
+            ELSE TIMESTAMP '2024-01-01 00:00:00' END AS Updated_Date
+FROM customers"""
+
 _LOOKUP_NAMES = {key: spec.table for key, spec in LOOKUPS.items()}
 _ALL_NAMES = {**_LOOKUP_NAMES, **{name: name for name in ("customers", "products", "addresses", "transactions")}}
 
@@ -194,6 +224,11 @@ ORACLE: dict[str, str] = {
     "landing_stream": _with({"raw": RAW}, LANDED),
     "landing_batch_then_stream": _with({"raw": RAW}, LANDED),
     "landing_partitioned": _with({"raw": RAW}, LANDED),
+    "landing_ledger": _with({"raw": RAW}, LANDED),
+    "landing_rejects": _with({"raw": RAW}, _REJECTED),
+    "lookup_brand_second_run": _with({"raw": RAW}, _BRANDS_TWICE),
+    "lookup_city_second_run": _with({"raw": RAW}, _CITIES_TWICE),
+    "customers_second_run": _with(_only(NAMED, *PEOPLE, "customers"), _CUSTOMERS_TWICE),
     "landing_manifest": _with({"raw": RAW}, MANIFEST),
     "landing_reconciliation": _with({"raw": RAW}, RECONCILED),
     "gold_customers": _with(_only(PATHED, *PEOPLE, "customers"), _stamped("customers")),
@@ -204,9 +239,10 @@ ORACLE: dict[str, str] = {
     "gold_lookup_views": _counts(_only(PATHED, *LOOKUPS), _LOOKUP_NAMES),
     "gold_row_counts": _counts(NAMED, _ALL_NAMES),
     "gold_row_counts_keyed": _counts(PATHED, _ALL_NAMES),
+    "gold_row_counts_incremental": _counts(PATHED, _ALL_NAMES),
 }
 
 ORACLE |= {
     f"{name}_shuffled": ORACLE[name]
-    for name in ("address_core", "address_core_keyed", "customers_core", "transactions_core")
+    for name in ("address_core", "address_core_keyed", "customers_core", "products_core", "products_core_keyed", "transactions_core")
 }

@@ -15,34 +15,49 @@ from millrace.plans.entities import (
     build_transactions,
 )
 from millrace.plans.gold import publish_gold, row_counts
+from millrace.plans.history import carry_stamps
 from millrace.plans.lookups import build_lookups
 from millrace.registry import BY_PATH, LANDING_PATTERN, LOOKUPS, TABLES
 from millrace.session import scratch_run
-from millrace.sources.landing import read_landing
+from millrace.sources.ledger import read_pending
 from millrace.sources.tables import Store, write_all
 
 
 def merge_landing(
-    store: Store, landing: str | None = None, infer: bool = False, num_files: int | None = None
+    store: Store, landing: str | None = None, infer: bool = False, num_files: int | None = None, only_new: bool = False
 ) -> DataFrame:
-    """Merge the landing CSV files into the bronze table and return it."""
+    """Merge the landing CSV files into the bronze table and return it.
+
+    A merge starts the batch part of bronze anew; with `only_new` it adds the files that no merge has
+    held before. Files that a stream has merged are left out either way, so each file is in bronze once,
+    in whatever order batches and streams run. A file is known by its path: one that is written
+    again under its old name is no new file.
+    """
     pattern = None if landing else LANDING_PATTERN
-    store.write_bronze(read_landing(store.spark, landing or store.landing, infer, pattern), num_files)
+    records = read_pending(store, landing or store.landing, infer, pattern, batch=only_new, stream=True)
+    store.write_bronze(records, num_files, append=only_new)
     return store.read_bronze()
 
 
-def build_silver(store: Store, mode: str = BY_PATH, as_of: Stamp = None, key_type: str = "bigint") -> None:
+def build_silver(
+    store: Store, mode: str = BY_PATH, as_of: Stamp = None, key_type: str = "bigint", keep: bool = False
+) -> None:
     """Build the eleven lookups and the four core tables from bronze; scratch data goes with the last write.
 
     The core tables depend on the lookups but not on each other. `key_type` is that of Product_ID.
+    `keep` carries over what the silver tables already hold: lookup ids stay and new names get higher
+    ones, and stamps change only for rows that changed.
     """
     with scratch_run(store.spark, store.base):
-        _build_silver(store, mode, datetime.datetime.now() if as_of is None else as_of, key_type)
+        _build_silver(store, mode, datetime.datetime.now() if as_of is None else as_of, key_type, keep)
 
 
-def _build_silver(store: Store, mode: str, as_of: Stamp, key_type: str) -> None:
+def _build_silver(store: Store, mode: str, as_of: Stamp, key_type: str, keep: bool) -> None:
     bronze = store.read_bronze()
-    built = build_lookups(bronze, mode=mode)
+    known = {key: store.read_silver(key) for key in LOOKUPS if store.exists(store.silver(key))} if keep else {}
+    if set(known) not in (set(), set(LOOKUPS)):
+        raise ValueError(f"only some lookups are there: {sorted(known)}")
+    built = build_lookups(bronze, mode=mode, known=known or None)
     write_all(store.spark, [partial(store.write_silver, key, table) for key, table in built.items()])
     lookups = {key: store.read_silver(key) for key in LOOKUPS}
     builders = {
@@ -53,12 +68,15 @@ def _build_silver(store: Store, mode: str, as_of: Stamp, key_type: str) -> None:
     }
     write_all(
         store.spark,
-        [partial(_write_entity, store, key, builder, bronze, lookups, as_of) for key, builder in builders.items()],
+        [partial(_write_entity, store, key, builder, bronze, lookups, as_of, keep) for key, builder in builders.items()],
     )
 
 
-def _write_entity(store, key, builder, bronze, lookups, as_of) -> None:
-    store.write_silver(key, builder(bronze, lookups, as_of=as_of))
+def _write_entity(store, key, builder, bronze, lookups, as_of, keep) -> None:
+    rows = builder(bronze, lookups, as_of=as_of)
+    if keep and store.exists(store.silver(key)):
+        rows = carry_stamps(rows, store.read_silver(key), key)
+    store.write_silver(key, rows)
 
 
 def run_pipeline(
@@ -69,10 +87,14 @@ def run_pipeline(
     as_of: Stamp = None,
     infer: bool = False,
     key_type: str = "bigint",
+    keep: bool = False,
 ) -> DataFrame:
-    """Landing files to gold below `base`; returns the row count of every gold table."""
+    """Landing files to gold below `base`; returns the row count of every gold table.
+
+    `keep` merges only new landing files and keeps ids and stamps of an earlier run.
+    """
     store = Store(spark, base)
-    merge_landing(store, landing, infer)
-    build_silver(store, mode, as_of, key_type)
+    merge_landing(store, landing, infer, only_new=keep)
+    build_silver(store, mode, as_of, key_type, keep)
     publish_gold(store)
     return row_counts({TABLES[key].table: store.read_gold(key) for key in TABLES})

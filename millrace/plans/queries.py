@@ -19,11 +19,12 @@ from millrace.plans.entities import (
     product_dim,
 )
 from millrace.plans.gold import publish_gold, row_counts
+from millrace.plans.history import carry_stamps
 from millrace.plans.lookups import build_lookups
 from millrace.plans.pipeline import merge_landing, run_pipeline
 from millrace.registry import AUDIT_COLUMNS, BY_NAME, BY_PATH, ENTITIES, LANDING_TYPES, LOOKUPS, TABLES
 from millrace.session import materialize, scratch_path
-from millrace.sources.landing import landing_manifest, read_landing, reconcile
+from millrace.sources.landing import landing_manifest, read_landing, read_landing_checked, reconcile
 from millrace.sources.star import retail_records
 from millrace.sources.tables import Store, write_csv
 from millrace.streaming.landing import stream_landing
@@ -41,8 +42,8 @@ ENTITY_SOURCES = {
 }
 
 
-def _as_of() -> Column:
-    return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+def _as_of(month: int = 1) -> Column:
+    return F.lit(f"2024-{month:02}-01 00:00:00").cast("timestamp_ntz")
 
 
 def _plain_names(df: DataFrame) -> DataFrame:
@@ -206,6 +207,63 @@ def landing_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed_time(merge_landing(Store(spark, scratch_path(spark, "dated")), path))
 
 
+def landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder that keeps growing, merged as a batch, a stream, a batch of new files, again from the start, and as a stream."""
+    path, progress = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    records, store = retail_records(spark, sf_dir), Store(spark, scratch_path(spark, "ledger"))
+    steps = (
+        partial(merge_landing, store, path),
+        partial(stream_landing, store, progress, path),
+        partial(merge_landing, store, path, only_new=True),
+    )
+    for part, step in enumerate(steps):
+        write_csv(records.where(F.col("Transaction_ID") % len(steps) == part), f"{path}/part={part}")
+        step()
+    merge_landing(store, path)
+    return _typed_time(stream_landing(store, progress, path))
+
+
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, n): the records that fit, and by column those set aside because a value isn't of its type."""
+    path, number = scratch_path(spark, "landing"), F.col("Transaction_ID")
+    age = F.when(number % 50 == 0, F.lit("forty")).otherwise(F.col("Age").cast("string"))
+    amount = F.when(number % 35 == 0, F.lit("1,5")).otherwise(F.col("Total_Amount").cast("string"))
+    write_csv(retail_records(spark, sf_dir).withColumn("Age", age).withColumn("Total_Amount", amount), path)
+    records, rejects = read_landing_checked(spark, path)
+    kinds = records.select(F.lit("record").alias("kind")).union(rejects.select("reason"))
+    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def lookup_second_run(spark: SparkSession, sf_dir: str, key: str, first: str) -> DataFrame:
+    """A lookup built from the records that meet `first`, and then from all of them: the ids of the first run stay."""
+    records = retail_records(spark, sf_dir)
+    known = build_lookups(records.where(first), [key])
+    return build_lookups(records, [key], known=known)[key]
+
+
+def customers_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of two runs a month apart: the second has more of them, and new mail addresses for some."""
+    number = F.col("Customer_ID")
+    names = [*ENTITY_SOURCES["customers"]]
+    records = materialize(retail_records(spark, sf_dir).select(*names), "bronze")
+    first = records.where(number % 3 != 0)
+    lookups = build_lookups(first, ENTITIES["customers"].lookups)
+    before = customer_dim(first, lookups, as_of=_as_of())
+    moved = records.withColumn("Email", F.when(number % 5 == 0, F.concat(F.lit("new."), "Email")).otherwise(F.col("Email")))
+    lookups = build_lookups(moved, ENTITIES["customers"].lookups, known=lookups)
+    return carry_stamps(customer_dim(moved, lookups, as_of=_as_of(month=2)), before, "customers")
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline over half of the records, and again when the other half has landed: only that is merged."""
+    base, path = scratch_path(spark, "lakehouse"), scratch_path(spark, "landing")
+    records = retail_records(spark, sf_dir)
+    for part in range(2):
+        write_csv(records.where(F.col("Transaction_ID") % 2 == part), f"{path}/part={part}")
+        counts = run_pipeline(spark, base, path, BY_PATH, _as_of(month=part + 1), keep=True)
+    return counts
+
+
 QUERIES: dict[str, Query] = {
     "raw_row_count": raw_row_count,
     "distinct_state_country": distinct_state_country,
@@ -225,6 +283,11 @@ QUERIES: dict[str, Query] = {
     "landing_stream": landing_stream,
     "landing_batch_then_stream": landing_batch_then_stream,
     "landing_partitioned": landing_partitioned,
+    "landing_ledger": landing_ledger,
+    "landing_rejects": landing_rejects,
+    "lookup_brand_second_run": partial(lookup_second_run, key="brand", first="Product_Brand >= 'Brand#3'"),
+    "lookup_city_second_run": partial(lookup_second_run, key="city", first="Country <> 'AMERICA'"),
+    "customers_second_run": customers_second_run,
     "landing_manifest": landing_audit,
     "landing_reconciliation": landing_reconciliation,
     "gold_customers": partial(gold_entity, key="customers", builder=build_customers),
@@ -235,9 +298,10 @@ QUERIES: dict[str, Query] = {
     "gold_catalog_tables": catalog_tables,
     "gold_row_counts": partial(gold_row_counts, mode=BY_NAME),
     "gold_row_counts_keyed": partial(gold_row_counts, mode=BY_PATH),
+    "gold_row_counts_incremental": gold_incremental,
 }
 
 QUERIES |= {
     f"{name}_shuffled": partial(shuffled, query=QUERIES[name])
-    for name in ("address_core", "address_core_keyed", "customers_core", "transactions_core")
+    for name in ("address_core", "address_core_keyed", "customers_core", "products_core", "products_core_keyed", "transactions_core")
 }

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.registry import LANDING_FILES, LANDING_TYPES
+from millrace.session import materialize
+from millrace.sources.tables import LINEAGE
 
 
 #: Files that are read from a folder, at any depth; what else lies there is left alone.
@@ -23,7 +25,13 @@ def _options(pattern: str | None) -> dict[str, str]:
     }
 
 
-def landing_schema(spark: SparkSession, path: str, pattern: str | None = None) -> T.StructType:
+def landing_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """(file): the full path of each landing file, those without a record included; no content is read."""
+    options = {key: value for key, value in _options(pattern).items() if key in ("recursiveFileLookup", "pathGlobFilter")}
+    return spark.read.format("binaryFile").options(**options).load(path).select(F.col("_metadata.file_path").alias("file"))
+
+
+def landing_schema(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> T.StructType:
     """Declared types in the order of the header found at `path`.
 
     Reads one line. Columns the model does not know are kept as text; a missing
@@ -39,9 +47,13 @@ def landing_schema(spark: SparkSession, path: str, pattern: str | None = None) -
     return schema
 
 
-def read_landing(spark: SparkSession, path: str, infer: bool = False, pattern: str | None = None) -> DataFrame:
+def read_landing(
+    spark: SparkSession, path: str | list[str], infer: bool = False, pattern: str | None = None, lineage: bool = False
+) -> DataFrame:
     """All CSV files at or below `path` whose names match `pattern` as one table.
 
+    `path` may be a list of files. `lineage` adds the file each record came from.
+
     Folders may be nested or dated; their names add no column.
     Types are declared, and a file whose header differs from the others fails
     the read: CSV columns are matched by position, so accepting it would put
@@ -51,14 +63,46 @@ def read_landing(spark: SparkSession, path: str, infer: bool = False, pattern: s
     schema = landing_schema(spark, path, pattern)
     reader = spark.read.options(**_options(pattern))
     if infer:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+        records = reader.option("inferSchema", True).csv(path)
+    else:
+        records = reader.schema(schema).csv(path)
+    return records.withColumn(LINEAGE, F.col("_metadata.file_path")) if lineage else records
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def read_landing_checked(spark: SparkSession, path: str, pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects): the landing records that fit the declared types, and (file, reason, record) of the others.
+
+    `read_landing` makes a value it cannot read NULL; here such a record is set aside as it was written,
+    so that records and rejects together are what landed. `reason` is `columns` where the number of fields
+    differs from the header's, else the first column whose value isn't of its type. The files are parsed
+    once, with all columns, into scratch storage that both tables read.
+    """
+    schema = landing_schema(spark, path, pattern)
+    whole = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    reader = spark.read.options(**_options(pattern)).option("columnNameOfCorruptRecord", _CORRUPT)
+    parsed = materialize(reader.schema(whole).csv(path).withColumn(LINEAGE, F.col("_metadata.file_path")), "landing")
+    texts = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema.fields), T.StructField(_CORRUPT, T.StringType())])
+    fields = F.from_csv(_CORRUPT, texts.simpleString()[7:-1].replace(":", " ").replace("State/Province", "`State/Province`"),
+                        {"columnNameOfCorruptRecord": _CORRUPT})
+    wrong = [
+        F.when(F.col("f")[f.name].isNotNull() & F.expr(f"try_cast(f.`{f.name}` AS {f.dataType.simpleString()})").isNull(), F.lit(f.name))
+        for f in schema.fields if not isinstance(f.dataType, T.StringType)
+    ]
+    reason = F.when(F.col("f")[_CORRUPT].isNotNull(), F.lit("columns")).otherwise(F.coalesce(*wrong, F.lit("value")))
+    rejects = parsed.filter(F.col(_CORRUPT).isNotNull()).withColumn("f", fields)
+    return (
+        parsed.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT, LINEAGE),
+        rejects.select(F.col(LINEAGE).alias("file"), reason.alias("reason"), F.col(_CORRUPT).alias("record")),
+    )
 
 
 def stream_reader(spark: SparkSession, path: str, files_per_batch: int, pattern: str | None = None) -> DataFrame:
-    """The same files as a stream."""
+    """The same files as a stream, each record with the file it came from."""
     reader = spark.readStream.options(**_options(pattern)).option("maxFilesPerTrigger", files_per_batch)
-    return reader.schema(landing_schema(spark, path, pattern)).csv(path)
+    return reader.schema(landing_schema(spark, path, pattern)).csv(path).withColumn(LINEAGE, F.col("_metadata.file_path"))
 
 
 def landing_manifest(
@@ -110,5 +154,4 @@ def reconcile(manifest: DataFrame, bronze: DataFrame) -> DataFrame:
     difference = F.col("bronze_rows") - F.col("landing_rows")
     status = F.when(difference == 0, "complete").when(difference < 0, "short").otherwise("over")
     merged = bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))
-    # one row each
-    return landed.join(merged, F.lit(True)).select("*", status.alias("status"))
+    return landed.withColumn("bronze_rows", merged.scalar()).select("*", status.alias("status"))

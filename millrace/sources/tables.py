@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -11,9 +12,13 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.registry import BRONZE_PATH, GOLD_PATH, LANDING_PATH, LOOKUPS, SILVER_PATH, TABLES
+from millrace.session import remove
 
 _WRITES_AT_ONCE = 8
 
+#: Column of bronze that names the landing file of a record.
+LINEAGE = "_landing_file"
+
 
 @dataclass(frozen=True)
 class Store:
@@ -44,17 +49,48 @@ class Store:
         """Where streams add records. A stream's log lists all files of its folder, so batches keep out of it."""
         return f"{self.bronze}_stream"
 
-    def read_bronze(self) -> DataFrame:
-        """All records, of the last batch merge and of all streams."""
-        parts = [self.spark.read.parquet(path) for path in (self.bronze, self.bronze_stream) if self._exists(path)]
+    def read_bronze(self, lineage: bool = False) -> DataFrame:
+        """All records, of batch merges and of all streams; `lineage` keeps the landing file of each."""
+        parts = [self.spark.read.parquet(path) for path in (self.bronze, self.bronze_stream) if self.exists(path)]
         if not parts:
             return self.spark.read.parquet(self.bronze)  # says what is missing
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+        whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        return whole if lineage else whole.drop(LINEAGE)
+
+    def exists(self, path: str) -> bool:
+        place, files = self._place(path)
+        return files.exists(place)
+
+    def _place(self, path: str):
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def replace(self, path: str, df: DataFrame) -> None:
+        """Write `df` next to the table at `path` and put it into its place once it is complete.
+
+        A job that fails leaves the old table as it was. Between the two renames the path is missing for a
+        moment; a driver lost just then leaves both tables complete, under names that begin with an underscore.
+        `df` may read the table it replaces.
+        """
+        folder, _, name = path.rpartition("/")
+        run = uuid.uuid4().hex
+        fresh, old = f"{folder}/_{name}.{run}.new", f"{folder}/_{name}.{run}.old"
+        try:
+            df.write.parquet(fresh)
+        except BaseException:
+            remove(self.spark, fresh)
+            raise
+        self._rename(path, old)
+        if not self._rename(fresh, path):
+            self._rename(old, path)
+            raise OSError(f"could not move {fresh} to {path}")
+        remove(self.spark, old)
+
+    def _rename(self, source: str, target: str) -> bool:
+        if not self.exists(source):
+            return False
+        place, files = self._place(source)
+        return files.rename(place, self._place(target)[0])
 
     def read_silver(self, key: str) -> DataFrame:
         return self._read(key, self.silver(key))
@@ -69,17 +105,20 @@ class Store:
             reader = reader.schema(LOOKUPS[key].schema)
         return reader.parquet(path)
 
-    def write_bronze(self, records: DataFrame, num_files: int | None = None) -> None:
-        """Overwrite bronze. `num_files` gathers the output, which also narrows the write to that many tasks."""
+    def write_bronze(self, records: DataFrame, num_files: int | None = None, append: bool = False) -> None:
+        """Replace bronze, or add to it. `num_files` gathers the output, which also narrows the write to that many tasks."""
         if num_files is not None:
             records = records.coalesce(num_files)
-        records.write.mode("overwrite").parquet(self.bronze)
+        if append:
+            records.write.mode("append").parquet(self.bronze)
+        else:
+            self.replace(self.bronze, records)
 
     def write_silver(self, key: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.silver(key))
+        self.replace(self.silver(key), df)
 
     def write_gold(self, key: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.gold(key))
+        self.replace(self.gold(key), df)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:

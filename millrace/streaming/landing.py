@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 
 from millrace.registry import LANDING_PATTERN
 from millrace.sources.landing import stream_reader
-from millrace.sources.tables import Store
+from millrace.sources.ledger import merged_files
+from millrace.sources.tables import LINEAGE, Store
 
 
 FILES_PER_BATCH = 1000
@@ -19,13 +20,18 @@ def stream_landing(
 
     `progress` holds the stream's checkpoint and must stay with the bronze
     table it belongs to. Streams and batch merges have folders of their own, and
-    bronze is both together, so a file is to be given to one of them. Records are independent here, so the stream keeps no
+    bronze is both together. A file that a batch has merged is left out here, and
+    batches leave out what streams hold, so one folder may be given to both, but
+    not at the same time. Records are independent here, so the stream keeps no
     state and a run costs only the files that are new. A backlog is worked off
     in batches of `files_per_batch`, each committed on its own, so a run that is
     interrupted resumes after the last finished batch.
     """
     pattern = None if landing else LANDING_PATTERN
     records = stream_reader(store.spark, landing or store.landing, files_per_batch, pattern)
+    known = merged_files(store, stream=False)
+    if not known.isEmpty():
+        records = records.join(known, LINEAGE, "left_anti").select(records.columns)
     query = (
         records.writeStream.format("parquet")
         .option("path", store.bronze_stream)
