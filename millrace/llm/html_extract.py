@@ -1,16 +1,19 @@
 """Main text of web pages by template deduction from equivalence classes.
 
 Pages of a host are made from a template. A token of the template - an element with its place in
-the page, or a text with its place - occurs equally often in a page as the tokens it belongs with,
+the page, or a block of text with its place - occurs equally often in a page as the tokens it belongs with,
 so tokens with equal occurrence vectors over the host's pages form a class. A vector is kept as a
 sum of hashes of (page, occurrences), which partial aggregation adds up wherever the pages are.
-Classes that enough pages have are valid; they nest by place, with the class that occurs once on
-every page as the root. The slot of the root that holds the article is the data; all else is
-template.
+Classes that enough pages have, with an element among their tokens, are valid and nest by place.
+What lies between the tokens of the nested classes is in the template's slots. An article element of the
+template names the slot to be taken; else it is the least element that covers the texts of all slots, and
+where that is no less than the page, all texts of all slots are the data. Elements whose names say that
+they are no main text are left out, but not within an article.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -28,12 +31,10 @@ from millrace.session import materialize
 #: A class is valid if so large a share of the host's pages has it, and so many pages at least.
 SUPPORT = 0.5
 LEAST_PAGES = 3
-#: A slot holds the data if it has so large a share of the text outside of template elements.
-DATA_SHARE = 0.6
 #: Templates of so many bytes in all are sent to all tasks; beyond, pages are dealt out by host and salt.
 BROADCAST_BYTES = 32 << 20
 SALTS = 16
-#: Longer texts are no template tokens.
+#: Longer texts are told apart by their hashes.
 TOKEN_CHARS = 200
 
 #: Elements without content, elements that start a block, elements that aren't main
@@ -67,6 +68,7 @@ _PIECE = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 _MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_NUMBER = re.compile(r"\d+")
 _SELF_CLOSED = re.compile(r"(?:\A|[\s\"'])/\Z")
 #: What ends an element whose content is no markup.
 _RAW_END = {
@@ -79,7 +81,8 @@ class _Element:
 
     def __init__(self, tag: str, marks: list[str], above: _Element | None):
         self.tag = tag
-        step = ".".join([tag, *marks])
+        # numbers in names are those of pages, not of templates
+        step = ".".join([tag, *("|".join(_NUMBER.sub("#", m).replace("/", "|").split()) for m in marks)])
         self.place = f"{above.place}/{step}" if above else step
         names = {n.lower() for m in marks for n in m.split()}
         self.barred = tag in NOT_MAIN or bool(above and above.barred)
@@ -145,116 +148,187 @@ def _clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-def main_text(page: str, slots: list[str], known: frozenset[str], names: bool = True) -> str:
-    """The blocks below one of the places `slots`; those of the whole page, without texts in `known`, if none is given.
-
-    NOT_MAIN_NAMES count only where no slot is given, and not if `names` is false.
-    """
-    names = names and not slots
-    blocks: list[str] = []
+def _blocks(page: str, keep) -> Iterator[tuple[_Element | None, str | None]]:
+    """Each element of a page with None, and each block of the texts whose elements `keep` accepts, with that of its first one."""
     now: list[str] = []
+    first = None
     for element, text, starts in walk(page):
         if starts and now:
-            blocks.append("".join(now))
+            yield first, "".join(now)
             now = []
-        if text is None or element is not None and (element.template if names else element.barred):
-            continue
-        if slots:
-            if element is None or not any(element.place == s or element.place.startswith(s + "/") for s in slots):
-                continue
-        elif known and f"{element.place if element else ''} {_clean(text)}" in known:
-            continue
-        now.append(text)
-    blocks.append("".join(now))
-    return "\n".join(filter(None, map(_clean, blocks)))
+        if text is None:
+            yield element, None
+        elif keep(element):
+            first = first if now else element
+            now.append(text)
+    if now:
+        yield first, "".join(now)
+
+
+def _token(element: _Element | None, text: str) -> str:
+    """A cleaned block with its place; a long one is named by its hash."""
+    if len(text) > TOKEN_CHARS:
+        text = "#" + hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
+    return f"{element.place if element else ''}\n{text}"
+
+
+def main_text(page: str, slots: list[str], known: frozenset[str], names: bool = True) -> str:
+    """The blocks below one of the places `slots`; those of the whole page, without blocks in `known`, if none is given.
+
+    `names` tells whether elements are left out for NOT_MAIN_NAMES too.
+    """
+
+    def keep(element: _Element | None) -> bool:
+        if element is None:
+            return not slots
+        if element.template if names else element.barred:
+            return False
+        return not slots or any(element.place == s or element.place.startswith(s + "/") for s in slots)
+
+    found = []
+    for element, text in _blocks(page, keep):
+        if text is not None and (text := _clean(text)) and not (known and not slots and _token(element, text) in known):
+            found.append(text)
+    return "\n".join(found)
 
 
-def _tokens(page: str) -> tuple[Counter, Counter]:
-    """How often each token of a page occurs, and how much text is below each place that could be a slot."""
-    times: Counter = Counter({"": 1})
+def tokens_of(page: str) -> tuple[Counter, Counter]:
+    """How often each token of a page occurs, and how many letters of text it has or has below it.
+
+    Tokens are `/` and the place of an element, or the place and text of a block. The token of a page with text
+    at all is empty. Texts of elements that are marked as template are left out, and those marked as data
+    needn't be told apart.
+    """
+    times: Counter = Counter()
     below: Counter = Counter()
-    for element, text, _ in walk(page):
+    for element, text in _blocks(page, lambda element: not (element is not None and element.template)):
         if text is None:
             times["/" + element.place] += 1
-        elif not (element is not None and element.template):
-            size = len(text)
-            below[""] += size
-            if element is not None:
-                steps = element.place.split("/")
-                for i in range(1, len(steps) + 1):
-                    below["/" + "/".join(steps[:i])] += size
-            if not (element is not None and element.data) and size <= TOKEN_CHARS and (text := _clean(text)):
-                times[f"{element.place if element else ''} {text}"] += 1
+        elif text := _clean(text):
+            times[""] = 1
+            below[""] += len(text)
+            place = "/" + element.place if element else ""
+            while place:
+                below[place] += len(text)
+                place = place.rpartition("/")[0]
+            if not (element is not None and element.data):
+                token = _token(element, text)
+                times[token] += 1
+                below[token] += len(text)
     return times, below
 
 
-def _is_template(place: str, by_names: bool = True) -> bool:
+def _is_template(place: str, by_names: bool) -> bool:
     for step in place.split("/"):
         tag, *marks = step.split(".")
         if tag in NOT_MAIN:
             return True
-        if by_names and tag not in ("html", "body") and {n.lower() for m in marks for n in m.split()} & NOT_MAIN_NAMES:
+        if by_names and tag not in ("html", "body") and {n.lower() for m in marks for n in m.split("|")} & NOT_MAIN_NAMES:
             return True
     return False
 
 
-def _deduce(tokens: pd.DataFrame) -> pd.DataFrame:
-    """The slots and the known texts of one host, from the tokens that enough of its pages have."""
-    root = tokens[tokens.token == ""].iloc[0]
-    # the root class: as often as the page itself, on every page; the order is by place
-    once = tokens[(tokens.vector == root.vector) & tokens.token.str.startswith("/")].sort_values("token")
-    places = [t[1:] for t in once.token if not _is_template(t[1:])]
-    holds = lambda p: p.rpartition("/")[2].split(".")[0] in DATA_ELEMENTS
-    slots = [p for p in places if holds(p)]
-    # an article is one whatever the names of what is around it
-    slots = slots or [t[1:] for t in once.token if holds(t[1:]) and not _is_template(t[1:], by_names=False)]
-    if not slots and root.pages >= LEAST_PAGES:
-        size = {t[1:]: b for t, b in zip(once.token, once.below, strict=True)}
-        large = [p for p in places if size[p] >= DATA_SHARE * root.below and p.count("/") > 1]
-        slots = [max(large, key=lambda p: (p.count("/"), size[p], p))] if large else []
-    slots = [p for p in slots if not any(p.startswith(q + "/") for q in slots)]
-    # nested classes: texts that belong to a valid class with an element, or to the root
-    texts = tokens[~tokens.token.str.startswith("/") & (tokens.token != "")]
-    known = sorted(texts.token) if root.pages >= LEAST_PAGES else []
-    return pd.DataFrame({"host": [root.host], "slots": [slots], "known": [known]})
+def classes(pages: DataFrame) -> DataFrame:
+    """(host, vector, pages, once, elements, texts): the valid equivalence classes of `pages` (host, key, html).
 
+    `elements` are (place, below, whole), with the letters below it and those of the pages that have it,
+    `texts` are (text, below), over all pages.
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, slots, known) of each host in `pages` (host, page_key, html)."""
+    A class is all tokens of a host with one occurrence vector. It is valid if SUPPORT of the host's pages
+    with text have its tokens, LEAST_PAGES of them at least, and if it has an element: a text that
+    often stands alone is no template. `once` tells that no page has one of its tokens twice. Of a host with
+    fewer pages only the elements are known.
+    """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total: dict[tuple[str, str], list[int]] = {}
             for host, key, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                times, below = _tokens(page)
+                times, below = tokens_of(page)
                 for token, n in times.items():
-                    entry = total.setdefault((host, token), [0, 0, 0])
+                    entry = total.setdefault((host, token), [0, 0, 0, 0, 0])
                     # the share of this page in the vector: a hash of page and occurrences
                     part = (key ^ (n * 0x9E3779B97F4A7C15)) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
                     part = (part ^ part >> 29) * 0x94D049BB133111EB & (1 << 64) - 1
                     entry[0] += 1
                     entry[1] = entry[1] + (part ^ part >> 32) & (1 << 64) - 1
-                    entry[2] += below[token]
-            keys, values = list(total), np.array(list(total.values()), dtype=np.uint64).reshape(-1, 3).view(np.int64)
+                    entry[2] += n
+                    entry[3] += below[token]
+                    entry[4] += below[""]
+            keys, values = list(total), np.array(list(total.values()), dtype=np.uint64).reshape(-1, 5).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                 *(pa.array(values[:, i].copy(), pa.int64()) for i in range(3))],
-                names=["host", "token", "pages", "vector", "below"],
+                 *(pa.array(values[:, i].copy(), pa.int64()) for i in range(5))],
+                names=["host", "token", "pages", "vector", "times", "below", "whole"],
             )
 
-    parts = pages.mapInArrow(count, "host string, token string, pages long, vector long, below long")
+    parts = pages.mapInArrow(count, "host string, token string, pages long, vector long, times long, below long, whole long")
     # sums of vectors wrap around, half by half
     low, high = F.col("vector").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright("vector", 32)
     tokens = parts.groupBy("host", "token").agg(
-        F.sum("pages").alias("pages"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.sum("below").alias("below")
-    ).withColumn("vector", F.concat_ws(" ", F.col("pages"), F.col("low"), F.col("high"))).drop("low", "high")
+        F.sum("pages").alias("pages"), F.sum(low).alias("low"), F.sum(high).alias("high"),
+        *(F.sum(c).alias(c) for c in ("times", "below", "whole")),
+    ).withColumn("vector", F.concat_ws(" ", "pages", "low", "high"))
     sizes = tokens.filter(F.col("token") == "").select(F.col("host").alias("of"), F.col("pages").alias("all"))
-    valid = tokens.join(sizes, F.col("host") == F.col("of")).filter(
+    often = tokens.join(sizes, F.col("host") == F.col("of")).filter(
         (F.col("pages") >= SUPPORT * F.col("all")) & ((F.col("pages") >= 2) | (F.col("all") == 1))
     )
-    return valid.select("host", "token", "pages", "vector", "below").groupBy("host").applyInPandas(
-        _deduce, "host string, slots array<string>, known array<string>"
-    )
+    element = F.col("token").startswith("/")
+    place = F.struct(F.substring("token", F.lit(2), F.length("token")).alias("place"), "below", "whole")
+    text = F.struct(F.col("token").alias("text"), "below")
+    return often.groupBy("host", "vector").agg(
+        F.first("pages").alias("pages"),
+        F.every(F.col("times") == F.col("pages")).alias("once"),
+        F.sort_array(F.collect_list(F.when(element, place))).alias("elements"),
+        F.sort_array(F.collect_list(F.when(~element & (F.col("all") >= LEAST_PAGES) & (F.col("token") != ""), text))).alias("texts"),
+    ).filter(F.size("elements") > 0)
+
+
+def _nested(valid: pd.DataFrame) -> pd.DataFrame:
+    """The template of one host from its valid classes: its slots and its texts.
+
+    Classes nest by place: a class lies in that of the nearest element around its first element. One whose
+    chain leads to no class without an element around it hangs nowhere and isn't taken. An article element
+    is the slot; else it is the least element below the body that covers all letters of its pages but those
+    of its class, where there is one.
+    """
+    below = {e["place"]: (e["below"], e["whole"]) for own in valid.elements for e in own}
+    valid = valid.assign(elements=[[e["place"] for e in own] for own in valid.elements])
+    of = {place: i for i, places in enumerate(valid.elements) for place in places}
+
+    def above(place: str) -> str:
+        return place.rpartition("/")[0]
+
+    taken: set[int] = set()
+    first = [min(places, key=lambda p: (p.count("/"), p)) for places in valid.elements]
+    for i in sorted(range(len(valid)), key=lambda i: first[i].count("/")):
+        outer = above(first[i])
+        if not outer or of.get(outer) in taken:
+            taken.add(i)
+    named = [
+        place for i in taken if valid.once.iloc[i] for place in valid.elements.iloc[i]
+        if place.rpartition("/")[2].split(".")[0] in DATA_ELEMENTS and not _is_template(place, by_names=False)
+    ]
+    # an article is one whatever the names of what is around it, unless there is another
+    named = [place for place in named if not _is_template(place, by_names=True)] or named
+    slots = sorted(p for p in named if not any(p.startswith(q + "/") for q in named))
+    known = sorted(t["text"] for i in taken for t in valid.texts.iloc[i])
+    least = ""
+    for i in taken if known and not slots else ():
+        for place in valid.elements.iloc[i] if valid.once.iloc[i] else ():
+            inside, whole = below[place]
+            for t in valid.texts.iloc[i]:
+                whole -= t["below"]
+                if t["text"].startswith((place + "/", place + "\n")):
+                    inside -= t["below"]
+            if inside == whole > 0 and place.count("/") > 1 and (place.count("/"), place) > (least.count("/"), least):
+                least = place
+    return pd.DataFrame({"host": [valid.host.iloc[0]], "slots": [slots or [least] * bool(least)], "named": [bool(slots)], "known": [known]})
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, slots, named, known) of each host in `pages` (host, key, html) with a valid class."""
+    return classes(pages).groupBy("host").applyInPandas(_nested, "host string, slots array<string>, named boolean, known array<string>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -262,9 +336,11 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block becomes one space, and blocks are
     joined by line ends in page order. A null or empty html gives an empty text; a null url counts
-    as the empty host, whose pages are taken together. A page of a host whose template has no slot for
-    data, or that lacks its host's slot, gives all blocks outside of template elements and texts, and if
-    there is none, those that only the names of elements mark as template. Repeated rows are extracted each for itself. Other columns are ignored, whatever their names.
+    as the empty host, whose pages are taken together. A page of a host whose template names no slot, or
+    that lacks its host's slot, gives the texts of all slots: all blocks outside of template elements and texts.
+    If there is none, it gives those that only the names of elements mark as template, and then, as on a host
+    whose pages are all alike, those that only their repetition does. Repeated rows are extracted each for itself,
+    an empty table gives no row. Other columns are ignored, whatever their names.
     """
     given = pages.select(
         "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of(F.col("url")).alias("host")
@@ -279,15 +355,16 @@ def extract(pages: DataFrame) -> DataFrame:
         salted = given.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
         copies = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = salted.join(copies, ["host", "salt"], "left")
-    joined = joined.select("page_id", "url", "html", "slots", "known")
+    joined = joined.select("page_id", "url", "html", "slots", "known", "named")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for page, slots, known in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            for page, slots, known, named in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
                 known = frozenset(known or ())
-                text = (main_text(page, slots, known) if slots else "") or main_text(page, [], known)
-                texts.append(text or main_text(page, [], known, names=False))
+                text = (main_text(page, slots, known, names=not named) if slots else "") or main_text(page, [], known)
+                text = text or main_text(page, [], known, names=False) or main_text(page, [], frozenset())
+                texts.append(text or main_text(page, [], frozenset(), names=False))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],

@@ -181,7 +181,13 @@ def remainder(modulus: int) -> Column:
 
 
 def known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows of `docs` whose language can be told; undetermined and ambiguous ones go."""
+    """The rows of `docs` whose language can be told; undetermined and ambiguous ones go.
+
+    A null or empty text, or one without a letter, is undetermined. If no language was learned, as none
+    was given, all rows with a letter stay. Repeated rows are judged each for itself, an empty table stays empty.
+    """
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     judged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), judge(docs, model).alias("found"))
     kept = judged.filter((F.col("found.lang_pred") != UNDETERMINED) & ~F.col("found.ambiguous"))
     return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

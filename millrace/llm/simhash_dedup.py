@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Words, chunks, mix, rolling, signed, unsigned, utf8
 from millrace.llm.graph import components
+from millrace.operators.keys import dense_key
 from millrace.session import materialize
 
 SHINGLE = 3
@@ -366,7 +367,28 @@ def near_links(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return found.union(_verified(shown, rest))
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row) of `docs`: rows numbered by doc_id and hash of text, equal ones alike."""
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("hash")).filter(F.col("doc_id").isNotNull()).distinct()
+    number = dense_key(hashed, ["doc_id", "hash"], "number")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(number, ["doc_id", "hash"], "left").select(F.col("number").alias("doc_id"), "row.text", "row")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
+    """`docs` with one row of each group of near-duplicates, that of least doc_id, as `_one_of_each` tells.
+
+    Rows of one doc_id with different texts are documents of their own, ordered by a hash of the text.
+    """
+    ids = docs.select("doc_id", F.xxhash64("text").alias("hash")).groupBy("doc_id")
+    differ = ids.agg(F.min("hash").alias("low"), F.max("hash").alias("high")).filter(F.col("low") < F.col("high"))
+    if differ.filter(F.col("doc_id").isNotNull()).isEmpty():
+        return _one_of_each(docs)
+    kept = _one_of_each(materialize(_told_apart(docs), "documents"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
     """`docs` with one row of each group of near-duplicates, that of least doc_id.
 
     Documents are linked by their fingerprints, as in `simhash_components`; those that are left are

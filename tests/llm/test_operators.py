@@ -297,6 +297,62 @@ def test_html_keeps_all_of_an_article(spark, page):
     assert html_extract.extract(table).first().text == "One\ntwo\nthree"
 
 
+def pages(spark, bodies, host="h.org"):
+    rows = [(i, f"http://{host}/{i}", b and f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def extracted(table):
+    return {r.page_id: r.text for r in html_extract.extract(table).collect()}
+
+
+BODY = ('<div class="bar">Menu of it</div><div class="content"><h1>Head {i}</h1><div class="text">Own {i} words {i}</div>'
+        '<div class="more">Second {i}</div></div><div class="end">Imprint</div>')
+
+
+def test_html_takes_all_slots_of_a_template(spark):
+    bodies = [BODY.format(i=i) for i in "abcdef"]
+    want = {i: f"Head {c}\nOwn {c} words {c}\nSecond {c}" for i, c in enumerate("abcdef")}
+    assert extracted(pages(spark, bodies)) == want
+    # an empty page, a null one and one of another layout change nothing
+    more = extracted(pages(spark, [*bodies, "", None, "<table><tr><td>Other<td>kind</table>"]))
+    assert {i: more[i] for i in range(6)} == want and more[6] == more[7] == "" and more[8] == "Other\nkind"
+
+
+def test_html_leaves_out_long_notices_and_takes_ids_of_pages_for_one(spark):
+    notice = f'<div class="n">{"We value your privacy. " * 20}</div>'
+    bodies = [f'{notice}<div id="post-{i}"><h2>T{c}</h2><p>Text {c}</div>' for i, c in enumerate("abcde")]
+    assert extracted(pages(spark, bodies)) == {i: f"T{c}\nText {c}" for i, c in enumerate("abcde")}
+    # a phrase that half of the articles have, but no element of its own, is no template
+    said = [f'<div class="x"><p>{c}</p>{"<p>They agreed.</p>" * (i % 2)}</div>' for i, c in enumerate("abcd")]
+    got = extracted(pages(spark, said))
+    assert all(("They agreed." in got[i]) == bool(i % 2) for i in range(4))
+
+
+def test_html_of_pages_all_alike_is_kept(spark):
+    assert extracted(pages(spark, ["<div><p>Same</p><p>text</p></div>"] * 4)) == {i: "Same\ntext" for i in range(4)}
+    assert html_extract.extract(pages(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_classes_equal_brute_force(spark):
+    bodies = [BODY.format(i=c) + "<ul>" + "<li>x</li>" * (1 + i % 3) + "</ul>" * (i % 2) for i, c in enumerate("abcdefg")]
+    bodies += ["", "<p>other</p>", bodies[0]]
+    table = pages(spark, bodies).select(F.lit("h").alias("host"), F.col("page_id").alias("key"), "html")
+    counted = [html_extract.tokens_of(r.html)[0] for r in table.collect()]
+    texts = sum(c[""] for c in counted)
+    vectors = {}
+    for token in set().union(*counted):
+        vector = tuple(c[token] for c in counted)
+        if sum(n > 0 for n in vector) >= max(html_extract.SUPPORT * texts, 2):
+            vectors.setdefault(vector, set()).add(token)
+    want = sorted(
+        (sum(n > 0 for n in vector), max(vector) == 1, sorted(t[1:] for t in tokens if t[:1] == "/"), sorted(t for t in tokens if t and t[0] != "/"))
+        for vector, tokens in vectors.items() if any(t[:1] == "/" for t in tokens)
+    )
+    got = html_extract.classes(table).collect()
+    assert sorted((r.pages, r.once, [e.place for e in r.elements], [t.text for t in r.texts]) for r in got) == want and len(want) > 2
+
+
 def test_lm_scores(docs, nothing):
     model = lm_score.train(docs, F.col("doc_id") % 2 == 0, queries.PIECES)
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -402,6 +458,35 @@ def test_neighbours_are_exact_on_small_tables(spark):
     assert neighbours.nearest_neighbours(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_pipeline_keeps_clean_documents(spark, nothing):
+    own = [" ".join(f"w{(i * 7 + j) % 89}x{i}" for j in range(60)) for i in range(4)]
+    rows = [(1, own[0], None, "s", 1, 1, "k", "r"), (1, own[1], None, "s", 1, 1, "k", "r"), (2, own[2], None, "s", 1, 1, "k", "r"),
+            (3, own[2], None, "s", 1, 1, "k", "r"), (None, own[3], None, None, None, None, None, None), (5, None, None, "s", 0, 1, "k", "r")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    # no label, no language: what has a letter stays
+    kept = language_id.known_language(table, language_id.fit(table))
+    assert kept.count() == 5 and kept.columns == table.columns
+    assert language_id.known_language(nothing, language_id.fit(nothing)).count() == 0
+    # one doc_id, two texts: two documents
+    left = one_of_each(kept)
+    assert left.columns == table.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted([(1, own[0]), (1, own[1]), (2, own[2]), (0, own[3])])
+    assert one_of_each(nothing).count() == 0
+
+
+def test_pipeline_runs_over_an_empty_table_and_a_small_one(spark, tmp_path):
+    own = [" ".join(f"w{(i * 7 + j) % 89}x{i}" for j in range(60)) for i in range(3)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*own, own[1], f"{own[0]} more", "", "123"])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, given in (("some", rows), ("none", [])):
+        spark.createDataFrame(given, schema).write.parquet(str(tmp_path / name / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    # the copy and the texts without a letter are gone, and so is the text that all of another one repeats
+    assert {r.doc_id for r in got} <= {0, 1, 2, 4} and {1, 2} <= {r.doc_id for r in got}
+    assert all(r.length > 0 for r in got)
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_pipeline_stages_keep_the_columns_of_documents(spark, docs):
     out = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES[:-1]:
