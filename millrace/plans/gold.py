@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.registry import TABLES
@@ -17,9 +17,12 @@ def publish_gold(
     keys: Iterable[str] = tuple(TABLES),
     database: str | None = None,
     views: bool = False,
+    counts: dict[str, int] | None = None,
 ) -> list[str]:
     """Publish tables in their contract column order; returns the published names.
 
+    `counts` is given the rows of each exported table, counted while they are written.
+
     By default every table is exported to its gold path. `database` creates or
     replaces catalog tables over the gold paths as well, and `views` registers
     temporary views over silver, which moves no data.
@@ -34,11 +37,21 @@ def publish_gold(
         elif database:
             jobs.append(partial(_save_table, rows, f"{database}.{spec.table}", store.gold(key)))
         else:
-            jobs.append(partial(store.write_gold, key, rows))
+            jobs.append(partial(_export, store, key, rows, counts))
     write_all(store.spark, jobs)
     return names
 
 
+def _export(store: Store, key: str, rows: DataFrame, counts: dict[str, int] | None) -> None:
+    """Write one table to its gold path, observing how many rows pass."""
+    if counts is None:
+        store.write_gold(key, rows)
+        return
+    seen = Observation()
+    store.write_gold(key, rows.observe(seen, F.count(F.lit(1)).alias("n")))
+    counts[TABLES[key].table] = seen.get["n"]
+
+
 def _save_table(rows: DataFrame, name: str, location: str | None) -> None:
     writer = rows.write.mode("overwrite").format("parquet")
     if location:
