@@ -269,6 +269,8 @@ def classes(pages: DataFrame) -> DataFrame:
         F.sum("pages").alias("pages"), F.sum(low).alias("low"), F.sum(high).alias("high"),
         *(F.sum(c).alias(c) for c in ("times", "below", "whole")),
     ).withColumn("vector", F.concat_ws(" ", "pages", "low", "high"))
+    # written, as the pages' sizes are read from it too: the pages are walked once
+    tokens = materialize(tokens, "tokens")
     sizes = tokens.filter(F.col("token") == "").select(F.col("host").alias("of"), F.col("pages").alias("all"))
     often = tokens.join(sizes, F.col("host") == F.col("of")).filter(
         (F.col("pages") >= SUPPORT * F.col("all")) & ((F.col("pages") >= 2) | (F.col("all") == 1))
