@@ -4,13 +4,15 @@ Inner product is turned into the cosine of vectors with one more component that
 length. Equal vectors are one node. Random-projection trees, whose splits are set on a bounded
 sample, deal all nodes into small leaves, and neighbours within a leaf start the graph. NN-descent
 then joins neighbours of neighbours: each node's neighbours, in both directions, meet with their
-vectors, those pairs of which one is new are compared, and whoever improves a list is sent there.
+vectors, those pairs of which one is new are compared, and whoever improves a list is sent there,
+until few lists change. A node none of whose neighbours is new gathers nothing.
 Queries walk the finished graph: each round the best nodes seen but not yet visited are joined with
 their neighbours.
 
-Vectors that only guide the walk are rounded to a byte a component; what is returned is scored on
-the original vectors in double precision. Nodes are dealt into even buckets, so no join has a key
-that is heavier than a node's list.
+Vectors that guide descent and walk are rounded to two bytes a component. Nodes are compared by their
+distance, centred within a group, so nearly equal ones are told apart too. Of a walk's pool all those
+are scored on the original vectors, in double precision, that the rounding leaves in doubt. Nodes are
+dealt into even buckets, so no join has a key that is heavier than a node's list.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,26 +34,43 @@ REVERSE = 32
 #: Nodes of a leaf, about, and trees.
 LEAF = 1000
 TREES = 6
-#: Vectors the trees' splits are set on, at most.
+#: Vectors the trees' splits are set on, and their bytes, at most.
 SAMPLE = 8192
-#: Rounds of NN-descent.
-ROUNDS = 4
-#: Best nodes a query keeps, nodes it visits a round, and rounds.
+SAMPLE_BYTES = 16 << 20
+#: NN-descent ends when less than this share of all list entries is new, and after so many rounds at most.
+CHANGED = 0.002
+ROUNDS = 12
+#: Best nodes a query keeps, and nodes it visits in the first rounds. Then come more rounds like the
+#: last, until each query has visited its best AHEAD, and so many at most.
 POOL = 400
 VISITS = (32, 64, 96, 128, 160)
-#: Best nodes a query scores on the original vectors.
-RESCORED = 64
+AHEAD = 64
+MORE_VISITS = 12
+#: Slices a crowded leaf is cut into by quantiles.
+SLICES = 256
 #: Bytes of the vectors sent to neighbours, about, that a task handles in a round.
 TASK_BYTES = 32 << 20
 
+#: Steps a component is rounded to, either side of zero, and what is worse than any likeness.
+STEPS = 32767
+NONE = -3.0
+
 _LIST = "bucket int, id long, nbr binary, score binary, fresh binary"
 
 
 def _rounded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows as bytes, and what to multiply them by."""
-    scale = np.abs(x).max(1, keepdims=True) / 127
+    """Rows as two-byte integers, and what to multiply them by."""
+    scale = np.abs(x).max(1, keepdims=True) / STEPS
     scale[scale == 0] = 1
-    return np.rint(x / scale).astype(np.int8), scale[:, 0].astype(np.float32)
+    return np.rint(x / scale).astype("<i2"), scale[:, 0].astype(np.float32)
+
+
+def _likeness(x: np.ndarray) -> np.ndarray:
+    """Minus half the squared distance of each two rows: their cosine less one. Centred, so that
+    rows which differ little don't drown in the rounding of what they share."""
+    x = x - x.mean(0)
+    half = (x * x).sum(1) / 2
+    return np.minimum(x @ x.T - half[:, None] - half[None, :], 0)
 
 
 def _packed(rows: np.ndarray) -> pa.Array:
@@ -169,10 +189,10 @@ class _Space:
 def _forest(space: _Space) -> list[tuple[np.ndarray, np.ndarray]]:
     """Splits of each tree as (directions, thresholds), in the order of a heap; set on a bounded sample."""
     part = 1 << 20
-    share = int(part * min(1.0, SAMPLE / max(space.count, 1)))
-    drawn = space.nodes.filter(F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(part)) < share).select("vector")
-    rows = drawn.limit(2 * SAMPLE).collect()
-    x = space.lengthened(np.array([r["vector"] for r in rows], dtype=np.float32).reshape(-1, space.width))
+    most = max(64, min(SAMPLE, SAMPLE_BYTES // (4 * (space.width + 1))))
+    share = int(part * min(1.0, most / max(space.count, 1)))
+    drawn = space.nodes.filter(F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(part)) < share).select("id", "vector")
+    x = space.lengthened(space.vectors(drawn.limit(2 * most).toArrow().sort_by("id")))
     depth = max(0, int(np.ceil(np.log2(max(1, space.count) / LEAF))))
     depth = min(depth, int(np.log2(max(2, len(x)) / 2)))
     random, trees = np.random.default_rng(11), []
@@ -194,10 +214,27 @@ def _forest(space: _Space) -> list[tuple[np.ndarray, np.ndarray]]:
     return trees
 
 
+def _sliced(dealt: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(leaf, id, vector, part) of the dealt nodes: the crowded leaves, `sizes` (leaf, n), in parts of 2 * LEAF, about.
+
+    SLICES along `along` at most; if there must be more parts, each slice is cut at random. There are no
+    more crowded leaves than leaves of the trees, so they are broadcast.
+    """
+    steps = F.percentile_approx("along", [i / SLICES for i in range(1, SLICES)], 10 * SLICES).alias("steps")
+    parts = F.ceil(F.first("n") / (2 * LEAF)).cast("long").alias("parts")
+    crowded = dealt.join(F.broadcast(sizes), "leaf").groupBy("leaf").agg(parts, steps)
+    cut = F.size(F.filter("steps", lambda s: s < F.col("along")))
+    whole = F.floor(cut * F.col("parts") / SLICES)
+    finer = cut + SLICES * F.pmod(F.xxhash64("id", "leaf"), F.ceil(F.col("parts") / SLICES))
+    part = F.when(F.col("parts") <= SLICES, whole).when(F.col("parts") > SLICES, finer).otherwise(0)
+    return dealt.join(crowded, "leaf", "left").select("leaf", "id", "vector", part.cast("long").alias("part"))
+
+
 def _start(space: _Space) -> DataFrame:
     """The first lists: each node's nearest in its leaf of each tree.
 
-    A leaf of more than twice LEAF nodes, as nearly equal vectors make one, is split at random.
+    A leaf of more than twice LEAF nodes, as vectors nearer to each other than the sample can tell
+    make one, is cut into slices along a direction of its own, by quantiles over all its nodes.
     """
     trees = _forest(space)
     sent = space.nodes.sparkSession.sparkContext.broadcast(trees)
@@ -212,16 +249,20 @@ def _start(space: _Space) -> DataFrame:
                 while len(leaf) and leaf[0] < len(thresholds):
                     value = (x * directions[leaf]).sum(1)
                     leaf = 2 * leaf + (value > thresholds[leaf])
+                along = x.astype(np.float64) @ np.random.default_rng(t).normal(size=x.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((np.int64(t) << 40) | leaf), batch.column(0), batch.column(1)], names=["leaf", "id", "vector"]
+                    [pa.array((np.int64(t) << 40) | leaf), batch.column(0), batch.column(1), pa.array(along)],
+                    names=["leaf", "id", "vector", "along"],
                 )
 
     def nearest(table: pa.Table) -> pa.Table:
         ids, x = table["id"].to_numpy(), space.lengthened(space.vectors(table))
+        x = x - x.mean(0)
+        half = (x * x).sum(1) / 2
         owner, other, score = [], [], []
         most = min(DEGREE, len(ids) - 1)
         for at in range(0, len(ids) if most > 0 else 0, 512):
-            s = x[at : at + 512] @ x.T
+            s = x[at : at + 512] @ x.T - half[at : at + 512, None] - half[None, :]
             s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
             top = np.argpartition(-s, most - 1, axis=1)[:, :most]
             owner.append(np.repeat(ids[at : at + len(s)], most))
@@ -235,12 +276,13 @@ def _start(space: _Space) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         return _lists(table["bucket"][0].as_py(), *_best(*_flat(table), DEGREE))
 
-    kind = "leaf long, id long, vector array<float>"
+    kind = "leaf long, id long, vector array<float>, along double"
     dealt = space.nodes.select("id", "vector").mapInArrow(deal, kind)
-    sizes = dealt.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / (2 * LEAF))).cast("int")
-    sized = dealt.join(sizes.select("leaf", parts.alias("parts")), "leaf")
-    sized = sized.withColumn("part", F.pmod(F.xxhash64("id", "leaf"), F.col("parts")))
+    sizes = dealt.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 2 * LEAF)
+    sizes = materialize(sizes.coalesce(1), "crowded")
+    sized = dealt.select("leaf", "id", "vector", F.lit(0).cast("long").alias("part"))
+    if not sizes.isEmpty():
+        sized = _sliced(dealt, sizes)
     lists = sized.groupBy("leaf", "part").applyInArrow(nearest, _LIST)
     lists = space.fewer(lists.withColumn("bucket", bucket_of(buckets, "id")))
     return lists.groupBy("bucket").applyInArrow(merge, _LIST)
@@ -250,10 +292,11 @@ _LISTS_EMPTY = _lists(0, *(np.empty(0, dtype=k) for k in (np.int64, np.int64, np
 _NEAR = "bucket int, at long, id long, vector binary, scale float, worst float, fresh byte"
 
 
-def _met(space: _Space, graph: DataFrame) -> DataFrame:
+def _met(space: _Space, graph: DataFrame, fresh_only: bool = False) -> DataFrame:
     """For each node `at` its neighbours in both directions with rounded vectors, dealt by `at`.
 
     `worst` is the least score in a neighbour's own list, what a new neighbour of it must beat.
+    With `fresh_only`, only for those nodes that have a fresh neighbour.
     """
     buckets = space.buckets
 
@@ -284,19 +327,22 @@ def _met(space: _Space, graph: DataFrame) -> DataFrame:
     nearest = Window.partitionBy("at").orderBy(F.desc("score"), "id")
     reverse = arrows(back=True).withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= REVERSE)
     links = arrows(back=False).drop("score").union(reverse.select("at", "id", "fresh"))
+    if fresh_only:
+        any_fresh = F.max("fresh").over(Window.partitionBy("at"))
+        links = links.withColumn("any", any_fresh).filter(F.col("any") > 0).drop("any")
     links = links.groupBy("at", "id").agg(F.max("fresh").alias("fresh"))
     links = space.fewer(links.withColumn("bucket", bucket_of(buckets, "id")))
 
     def ends(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             worst = [
-                np.frombuffer(s, dtype="<f4").min() if len(s) >= 4 * DEGREE else -2.0 for s in batch.column(3).to_pylist()
+                np.frombuffer(s, dtype="<f4").min() if len(s) >= 4 * DEGREE else NONE for s in batch.column(3).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(worst, pa.float32())], names=["of", "worst"])
 
     limits = graph.mapInArrow(ends, "of long, worst float")
     nodes = space.nodes.join(limits, F.col("id") == F.col("of"), "left").select(
-        "bucket", "id", "vector", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst")
+        "bucket", "id", "vector", F.coalesce("worst", F.lit(NONE).cast("float")).alias("worst")
     )
     met = links.groupBy("bucket").cogroup(nodes.groupBy("bucket")).applyInArrow(send, _NEAR)
     return space.fewer(met.withColumn("bucket", bucket_of(buckets, "at")))
@@ -316,13 +362,13 @@ def _descend(space: _Space, graph: DataFrame) -> DataFrame:
         order = np.argsort(at, kind="stable")
         ids, scale = table["id"].to_numpy()[order], table["scale"].to_numpy()[order]
         worst, fresh = table["worst"].to_numpy()[order], table["fresh"].to_numpy()[order].astype(bool)
-        x = _matrix(table["vector"], np.int8, width)[order]
+        x = _matrix(table["vector"], "<i2", width)[order]
         owner, other, score = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.float32)]
         for a, b in _groups(at[order]):
             if not fresh[a:b].any():
                 continue
             y = x[a:b].astype(np.float32) * scale[a:b, None]
-            s = y @ y.T
+            s = _likeness(y)
             good = (s > worst[a:b, None]) & (fresh[a:b, None] | fresh[None, a:b])
             np.fill_diagonal(good, False)
             i, j = np.nonzero(good)
@@ -339,25 +385,38 @@ def _descend(space: _Space, graph: DataFrame) -> DataFrame:
         bucket = (old if old.num_rows else new)["bucket"][0].as_py()
         return _lists(bucket, *table)
 
-    found = _met(space, graph).groupBy("bucket").applyInArrow(compare, _LIST)
+    found = _met(space, graph, fresh_only=True).groupBy("bucket").applyInArrow(compare, _LIST)
     found = space.fewer(found.withColumn("bucket", bucket_of(space.buckets, "id")))
     return graph.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(merge, _LIST)
 
 
 def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> tuple[_Space, DataFrame]:
-    """The graph over `nodes` (id, vector): a list of up to DEGREE near nodes for each, dealt by bucket."""
+    """The graph over `nodes` (id, vector): a list of up to DEGREE near nodes for each, dealt by bucket.
+
+    Rounds go on, at every size, until less than CHANGED of all entries is new, `rounds` at most.
+    """
     space = _Space(materialize(nodes, "nodes"), max(1, 2 * shuffle_partitions(nodes.sparkSession)))
     graph = materialize(space.fewer(_start(space)), "graph")
-    for _ in range(rounds if space.count > 2 * LEAF else 0):
+    new = F.length(F.translate(F.hex("fresh"), "0", ""))
+    for _ in range(rounds):
         graph = materialize(space.fewer(_descend(space, graph)), "graph")
+        changed, entries = graph.agg(F.sum(new), F.sum(F.length("fresh"))).first()
+        if (changed or 0) <= CHANGED * (entries or 0):
+            break
     return space, graph
 
 
-def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query, id) of the best nodes that greedy search from each query's own node finds."""
+def _walk(space: _Space, graph: DataFrame, queries: DataFrame, most_returned: int) -> DataFrame:
+    """(query, id) of the best nodes that greedy search from each query's own node finds.
+
+    At least the best `most_returned`, and all whose rounded scores can't be told from the last of these.
+    """
     width = space.width + 1
     buckets = space.buckets
-    met = _met(space, graph).select("bucket", "at", "id", "vector", "scale").persist()
+    # kept in the partitioning all rounds join on; what a lost executor held is made again from the written graph
+    layout = max(shuffle_partitions(graph.sparkSession), int(space.tasks))
+    met = _met(space, graph).select("bucket", "at", "id", "vector", "scale")
+    met = met.repartition(layout, "bucket").persist(StorageLevel.DISK_ONLY)
 
     def begin(table: pa.Table) -> pa.Table:
         # a query's own node is its first place to visit
@@ -391,7 +450,7 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
         at, ids = near["at"].to_numpy(), near["id"].to_numpy()
         order = np.argsort(at, kind="stable")
         at, ids, scale = at[order], ids[order], near["scale"].to_numpy()[order]
-        x = _matrix(near["vector"], np.int8, width)[order]
+        x = _matrix(near["vector"], "<i2", width)[order]
         q_at, query, worst = (asked[c].to_numpy() for c in ("at", "query", "worst"))
         q = _matrix(asked["vector"], np.float32, width)
         order = np.argsort(q_at, kind="stable")
@@ -423,7 +482,10 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
     near = met.groupBy("bucket")
     pool = queries.select("bucket", "id").groupBy("bucket").applyInArrow(begin, _LIST)
     pool = materialize(space.fewer(pool.withColumn("bucket", bucket_of(buckets, "id"))), "pool")
-    for most in (1, *VISITS):
+    left = F.instr(F.hex(F.substring("fresh", 1, AHEAD)), "1") > 0
+    for i, most in enumerate((1, *VISITS, *[VISITS[-1]] * MORE_VISITS)):
+        if i > len(VISITS) and pool.filter(left).isEmpty():
+            break
         asked = pool.groupBy("bucket").cogroup(queries.groupBy("bucket")).applyInArrow(
             visits(most), "at long, query long, worst float, vector binary"
         )
@@ -434,10 +496,16 @@ def _walk(space: _Space, graph: DataFrame, queries: DataFrame) -> DataFrame:
         pool = materialize(space.fewer(merged), "pool")
     met.unpersist()
 
+    # two scores of rounded rows of length one at most can't be told apart if they differ by less
+    margin = np.sqrt(width) / STEPS + 1e-6
+
     def best(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, other, score, fresh = _flat(pa.Table.from_batches([batch]))
-            owner, other, _, _ = _best(owner, other, score, fresh, RESCORED)
+            owner, other, score, fresh = _best(*_flat(pa.Table.from_batches([batch])), POOL)
+            keep = np.zeros(len(owner), dtype=bool)
+            for a, b in _groups(owner):
+                keep[a:b] = score[a:b] >= score[min(b, a + most_returned) - 1] - margin
+            owner, other = owner[keep], other[keep]
             yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(other)], names=["query", "id"])
 
     return pool.mapInArrow(best, "query long, id long")
@@ -483,7 +551,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
     asked = asking.select(F.col("query").alias("id")).distinct()
     nodes = space.nodes.join(asked, "id", "left_semi").select("bucket", "id", "vector")
     nodes = materialize(space.fewer(nodes), "queries")
-    scored = _exact(nodes, _walk(space, graph, nodes), space.nodes)
+    scored = _exact(nodes, _walk(space, graph, nodes, k + 2), space.nodes)
     found = scored.join(shown, "id").select("query", "vec_id", "score")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)

@@ -458,6 +458,40 @@ def test_neighbours_are_exact_on_small_tables(spark):
     assert neighbours.nearest_neighbours(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["near equal", "uneven"])
+def test_neighbours_are_found_by_descent(spark, monkeypatch, kind):
+    """Small leaves, so the graph must come from rounds; a third of the rows nearly equal, or lengths uneven."""
+    n, random, rounds = 2400, np.random.default_rng(5), []
+    x = random.normal(size=(n, 32)).astype(np.float32)
+    if kind == "uneven":
+        x *= random.lognormal(0, 0.7, size=(n, 1)).astype(np.float32)
+    else:
+        x[: n // 3] = x[0] + 1e-3 * random.normal(size=(n // 3, 32))
+    monkeypatch.setattr(neighbours, "LEAF", 60)
+    monkeypatch.setattr(neighbours, "SAMPLE", 128)
+    descend = neighbours._descend
+    monkeypatch.setattr(neighbours, "_descend", lambda *a: (rounds.append(1), descend(*a))[1])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = neighbours.nearest_neighbours(table, F.col("vec_id") % 20 == 0).toPandas()
+    y, hits = x.astype(float), {}
+    for q, found in got.groupby("query_id"):
+        s = y @ y[q]
+        assert np.allclose(found["score"], s[found["vec_id"]], rtol=1e-12)
+        s[q] = -np.inf
+        hits[q] = len({*np.lexsort((np.arange(n), -s))[:20].tolist()} & {*found["vec_id"].tolist()}) / 20
+    assert len(hits) == n // 20 and len(rounds) > 1
+    assert np.mean(list(hits.values())) >= 0.95
+    assert np.mean([h for q, h in hits.items() if q < n // 3]) >= 0.95
+
+
+def test_neighbours_leave_out_other_lengths_and_repeated_ids(spark):
+    rows = [(i, [float(i + 1), 1.0]) for i in range(8)] + [(3, [0.5, 1.0]), (20, [1.0, 2.0, 3.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = neighbours.nearest_neighbours(table, F.col("vec_id") == 0).orderBy("rank").collect()
+    # of the two vectors of id 3 the least is taken
+    assert [r.vec_id for r in got] == [7, 6, 5, 4, 2, 1, 3] and got[-1].score == 1.5
+
+
 def test_pipeline_keeps_clean_documents(spark, nothing):
     own = [" ".join(f"w{(i * 7 + j) % 89}x{i}" for j in range(60)) for i in range(4)]
     rows = [(1, own[0], None, "s", 1, 1, "k", "r"), (1, own[1], None, "s", 1, 1, "k", "r"), (2, own[2], None, "s", 1, 1, "k", "r"),
