@@ -1,7 +1,9 @@
 import pytest
 from conftest import rows
 
-from millrace.operators.joins import BROADCAST_SETTING, Match, attach, measure
+from pyspark.sql import functions as F
+
+from millrace.operators.joins import BROADCAST_SETTING, SHARES, Match, attach, hot_keys, measure
 
 
 @pytest.fixture(scope="module")
@@ -81,3 +83,68 @@ def test_the_limit_holds_for_all_tables_together(tables):
     plan = attach(facts, [Match(names, {"k": "name"}), Match(other, {"k": "name"})], broadcast_bytes=one)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "_salt" in text
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """As many shuffle partitions as a small cluster has, none of them merged."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield 64
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def _skewed(spark, number=30_000):
+    """A third of the records under one key, a tenth without any, the others all different."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 10 != 1, F.concat(F.lit("k"), F.col("id")))
+    return spark.range(number).select("id", key.alias("k"))
+
+
+def test_hot_keys_get_salts_by_their_share(spark, many_partitions):
+    facts = _skewed(spark)
+    (found,) = hot_keys(facts, [["k"]])
+    (hash_of_hot,) = [r[0] for r in facts.where("k = 'hot'").select(F.xxhash64("k")).distinct().collect()]
+    assert set(found) == {hash_of_hot}
+    assert found[hash_of_hot] == pytest.approx(SHARES * many_partitions / 3, abs=2)
+
+
+def test_keys_of_even_size_get_no_salt(spark, many_partitions):
+    even = spark.range(30_000).select(F.concat(F.lit("k"), F.col("id") % 1000).alias("k"))
+    assert hot_keys(even, [["k"], ["k"]]) == [{}, {}]
+    assert hot_keys(even.limit(0), [["k"]]) == [{}]
+    assert hot_keys(even.select(F.lit(None).cast("string").alias("k")), [["k"]]) == [{}]
+
+
+def test_a_third_of_the_records_under_one_key_spreads_over_many_tasks(spark, many_partitions):
+    facts = _skewed(spark)
+    names = spark.range(30_000).select(F.col("id").alias("nid"), F.concat(F.lit("k"), F.col("id")).alias("name"))
+    names = names.union(spark.createDataFrame([(-1, "hot")], "nid bigint, name string"))
+    out = attach(facts, [Match(names, {"k": "name"})], broadcast_bytes=0)
+    tasks = out.withColumn("task", F.spark_partition_id()).where("k = 'hot'").groupBy("task").count().collect()
+    assert len(tasks) > 16
+    assert max(t["count"] for t in tasks) < 3 * 30_000 / many_partitions
+    empty = out.withColumn("task", F.spark_partition_id()).where("k is null").select("task").distinct().count()
+    assert empty > 16
+    want = facts.join(names, facts.k == names.name, "left").select("id", "k", "nid")
+    assert out.exceptAll(want).isEmpty() and want.exceptAll(out).isEmpty()
+
+
+def test_several_large_tables_and_keys_of_several_columns(spark, many_partitions):
+    facts = _skewed(spark, 3000).withColumn("part", F.when(F.col("id") % 3 == 0, 1).otherwise((F.col("id") % 7).cast("int")))
+    places = facts.select(F.col("k").alias("name"), F.col("part").cast("bigint").alias("number")).distinct()
+    places = places.withColumn("pid", F.hash("name", "number"))
+    others = spark.createDataFrame([(1, "one"), (2, "two")], "number bigint, word string")
+    matches = [Match(places, {"k": "name", "part": "number"}), Match(others, {"part": "number"})]
+    small, large = attach(facts, matches), attach(facts, matches, broadcast_bytes=0)
+    assert small.columns == large.columns == ["id", "k", "part", "pid", "word"]
+    assert rows(small) == rows(large)
+    assert large.where("k = 'hot' and pid is not null and word = 'one'").count() == 1000
+
+
+def test_equal_records_are_all_kept(spark, many_partitions):
+    facts = spark.range(1000).select(F.lit("same").alias("k"))
+    names = spark.createDataFrame([(1, "same")], "nid bigint, name string")
+    assert attach(facts, [Match(names, {"k": "name"})], broadcast_bytes=0).where("nid = 1").count() == 1000
