@@ -199,6 +199,38 @@ SELECT DISTINCT * REPLACE (CASE WHEN Customer_ID % 5 = 0 THEN 'new.' || Email EL
             ELSE TIMESTAMP '2024-01-01 00:00:00' END AS Updated_Date
 FROM customers"""
 
+# names by the half they come up in first: even transactions land before odd ones
+_HALF = "Transaction_ID % 2"
+
+
+def _flat_halves(column: str, id: str, name: str) -> str:
+    return f"""
+SELECT CAST(row_number() OVER (ORDER BY half, v) AS BIGINT) AS {id}, v AS {name}
+FROM (SELECT {column} AS v, min({_HALF}) AS half FROM raw WHERE {column} IS NOT NULL GROUP BY v) d"""
+
+
+_TYPE_HALVES = f"""
+SELECT CAST(row_number() OVER (ORDER BY half, Product_Type, Product_Category) AS INT) AS Product_Type_ID,
+       Product_Type AS Product_Type_Name, Category_ID
+FROM (SELECT Product_Type, Product_Category, min({_HALF}) AS half FROM raw
+      WHERE Product_Type IS NOT NULL AND Product_Category IS NOT NULL GROUP BY ALL) d
+JOIN category ON Product_Category = Category_Name"""
+
+HALVES = {
+    **PATHED,
+    **{key: _flat_halves(spec.source, spec.id, spec.name) for key, spec in LOOKUPS.items() if spec.parent is None},
+    "product_type": _TYPE_HALVES,
+    "customers": CUSTOMERS.replace("FROM raw", f", {_HALF} AS half\nFROM raw"),
+    "products": PRODUCTS_BY_PATH.replace("(ORDER BY products", f"(ORDER BY {_HALF}, products").replace(
+        "pt.Category_ID\nFROM raw", f"pt.Category_ID, {_HALF} AS half\nFROM raw"),
+}
+
+
+def _stamped_halves(view: str) -> str:
+    stamp = "CASE half WHEN 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END"
+    return f"SELECT * EXCLUDE half, {stamp} AS Created_Date, {stamp} AS Updated_Date FROM {view}"
+
+
 _LOOKUP_NAMES = {key: spec.table for key, spec in LOOKUPS.items()}
 _ALL_NAMES = {**_LOOKUP_NAMES, **{name: name for name in ("customers", "products", "addresses", "transactions")}}
 
@@ -240,6 +272,8 @@ ORACLE: dict[str, str] = {
     "gold_row_counts": _counts(NAMED, _ALL_NAMES),
     "gold_row_counts_keyed": _counts(PATHED, _ALL_NAMES),
     "gold_row_counts_incremental": _counts(PATHED, _ALL_NAMES),
+    "silver_incremental": _with(_only(HALVES, *GOODS, "products"), _stamped_halves("products")),
+    "silver_incremental_customers": _with(_only(HALVES, *PEOPLE, "customers"), _stamped_halves("customers")),
 }
 
 ORACLE |= {

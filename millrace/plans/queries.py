@@ -28,6 +28,7 @@ from millrace.sources.landing import landing_manifest, read_landing, read_landin
 from millrace.sources.star import retail_records
 from millrace.sources.tables import Store, write_csv
 from millrace.streaming.landing import stream_landing
+from millrace.streaming.silver import stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -264,6 +265,18 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+def silver_incremental(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """A core table built by two silver streams: half of the records landed as a batch, then the others as a stream."""
+    path, progress = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    records, store = retail_records(spark, sf_dir), Store(spark, scratch_path(spark, "lakehouse"))
+    steps = (partial(merge_landing, store, path), partial(stream_landing, store, f"{progress}/landing", path))
+    for part, step in enumerate(steps):
+        write_csv(records.where(F.col("Transaction_ID") % len(steps) == part), f"{path}/part={part}")
+        step()
+        stream_silver(store, f"{progress}/silver", as_of=_as_of(month=part + 1))
+    return store.read_silver(key)
+
+
 QUERIES: dict[str, Query] = {
     "raw_row_count": raw_row_count,
     "distinct_state_country": distinct_state_country,
@@ -299,6 +312,8 @@ QUERIES: dict[str, Query] = {
     "gold_row_counts": partial(gold_row_counts, mode=BY_NAME),
     "gold_row_counts_keyed": partial(gold_row_counts, mode=BY_PATH),
     "gold_row_counts_incremental": gold_incremental,
+    "silver_incremental": partial(silver_incremental, key="products"),
+    "silver_incremental_customers": partial(silver_incremental, key="customers"),
 }
 
 QUERIES |= {

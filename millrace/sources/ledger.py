@@ -13,10 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.sources.landing import landing_files, read_landing
+from millrace.session import remove
 from millrace.sources.tables import LINEAGE, Store
 
 _FILE = f"{LINEAGE} string"
 
+#: What silver covers: the landing file, the highest Product_ID when it was added, and the build or batch that did.
+_COVERED = f"{_FILE}, last_product bigint, part string"
+
+#: Name of the part that a whole build covers.
+WHOLE = "whole"
+
 
 def merged_files(store: Store, batch: bool = True, stream: bool = True) -> DataFrame:
     """The distinct landing files held by the batch part of bronze, its stream part, or both."""
@@ -45,3 +52,21 @@ def read_pending(store: Store, landing: str, infer: bool, pattern: str | None, b
             return read_landing(store.spark, landing, infer, pattern, lineage=True).limit(0)
         return read_landing(store.spark, files, infer, pattern, lineage=True)
     return read_landing(store.spark, landing, infer, pattern, lineage=True)
+
+
+def covered_files(store: Store) -> DataFrame:
+    """(landing file, last_product, part) of all that the core tables of silver cover; empty without a finished build."""
+    if not store.exists(store.covered):
+        return store.spark.createDataFrame([], _COVERED)
+    return store.spark.read.schema(_COVERED).parquet(store.covered)
+
+
+def cover(store: Store, files: DataFrame, last_product: int, part: str) -> None:
+    """Record that silver covers the landing files of `files`, as a build or a batch is done."""
+    rows = files.select(LINEAGE, F.lit(last_product).cast("bigint").alias("last_product"))
+    store.replace(f"{store.covered}/part={part}", rows)
+
+
+def uncover(store: Store) -> None:
+    """Forget what silver covers, as its tables are about to be replaced."""
+    remove(store.spark, store.covered)

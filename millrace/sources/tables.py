@@ -19,6 +19,9 @@ _WRITES_AT_ONCE = 8
 #: Column of bronze that names the landing file of a record.
 LINEAGE = "_landing_file"
 
+#: Folder of silver that says which landing files its core tables cover.
+COVERED = "covered_files"
+
 
 @dataclass(frozen=True)
 class Store:
@@ -44,6 +47,11 @@ class Store:
     def gold(self, key: str) -> str:
         return self._at(f"{GOLD_PATH}/{TABLES[key].table}.parquet")
 
+    @property
+    def covered(self) -> str:
+        """The landing files that the core tables of silver cover, by the build or batch that added them."""
+        return self._at(f"{SILVER_PATH}/{COVERED}")
+
     @property
     def bronze_stream(self) -> str:
         """Where streams add records. A stream's log lists all files of its folder, so batches keep out of it."""
@@ -99,10 +107,15 @@ class Store:
         return self._read(key, self.gold(key))
 
     def _read(self, key: str, path: str) -> DataFrame:
-        """Lookup types are fixed by the registry, which spares a look at the footers."""
+        """Lookup types are fixed by the registry, which spares a look at the footers.
+
+        A core table holds the files of its last whole build and a folder for each batch added since.
+        """
         reader = self.spark.read
         if key in LOOKUPS:
             reader = reader.schema(LOOKUPS[key].schema)
+        else:
+            reader = reader.option("recursiveFileLookup", True)
         return reader.parquet(path)
 
     def write_bronze(self, records: DataFrame, num_files: int | None = None, append: bool = False) -> None:
@@ -117,6 +130,10 @@ class Store:
     def write_silver(self, key: str, df: DataFrame) -> None:
         self.replace(self.silver(key), df)
 
+    def write_silver_batch(self, key: str, df: DataFrame, batch: str) -> None:
+        """Add one batch to a core table; written again, it takes the place of its first attempt."""
+        self.replace(f"{self.silver(key)}/{batch}", df)
+
     def write_gold(self, key: str, df: DataFrame) -> None:
         self.replace(self.gold(key), df)
 

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from millrace.operators.keys import extend_key
 from millrace.plans.history import carry_stamps
 from millrace.plans.lookups import build_lookups
-from millrace.plans.pipeline import build_silver, merge_landing
+from millrace.plans import pipeline
+from millrace.plans.pipeline import add_to_silver, build_silver, merge_landing
 from millrace.registry import ENTITIES
 from millrace.sources.landing import read_landing_checked
-from millrace.sources.ledger import merged_files, pending_files
+from millrace.sources.ledger import covered_files, merged_files, pending_files
 from millrace.sources.tables import LINEAGE, Store
 from millrace.streaming.landing import stream_landing
+from millrace.streaming.silver import stream_silver
 
 
 @pytest.fixture
@@ -145,3 +147,102 @@ def test_a_failing_write_leaves_the_old_table(store, spark):
     store.write_silver("brand", table.union(spark.createDataFrame([(2, "b")], table.schema)))  # reads what it replaces
     assert rows(store.read_silver("brand")) == [(1, "a"), (2, "b")]
     assert os.listdir(os.path.dirname(store.silver("brand"))) == ["brand"]
+
+
+CORE = ("addresses", "customers", "products", "transactions")
+
+
+def silver_ids(store):
+    counts = {key: store.read_silver(key).count() for key in CORE}
+    found = ids(store.read_silver("transactions"))
+    assert set(counts.values()) == {len(found)}
+    assert ids(store.read_silver("products").select(F.col("Product_ID").alias("Transaction_ID"))) == list(range(1, len(found) + 1))
+    return found
+
+
+def test_silver_streams_add_each_record_once_in_whatever_order(store, csv_file, tmp_path):
+    progress, landing = str(tmp_path / "silver"), str(tmp_path / "landing")
+    land(csv_file, store, 1, 1, 2)
+    merge_landing(store)
+    stream_silver(store, progress, as_of=DAY[0])
+    assert silver_ids(store) == [1, 2]
+    land(csv_file, store, 2, 3)
+    stream_landing(store, landing)
+    stream_silver(store, progress, as_of=DAY[1])
+    stream_silver(store, progress, as_of=DAY[2])
+    assert silver_ids(store) == [1, 2, 3]
+    land(csv_file, store, 3, 4)
+    merge_landing(store)  # starts the batch part anew: new files of bronze, old records
+    stream_silver(store, progress, as_of=DAY[2])
+    assert silver_ids(store) == [1, 2, 3, 4]
+    stamps = store.read_silver("transactions").select("Transaction_ID", "Created_Date")
+    assert rows(stamps) == [(1, DAY[0]), (2, DAY[0]), (3, DAY[1]), (4, DAY[2])]
+    land(csv_file, store, 4, 5)
+    merge_landing(store, only_new=True)
+    build_silver(store, as_of=DAY[3])
+    assert silver_ids(store) == [1, 2, 3, 4, 5]
+    assert {r.part for r in covered_files(store).collect()} == {"whole"}
+    stream_silver(store, progress, as_of=DAY[3])
+    assert silver_ids(store) == [1, 2, 3, 4, 5]
+    land(csv_file, store, 5, 6)
+    merge_landing(store, only_new=True)
+    stream_silver(store, progress, as_of=DAY[3])
+    assert silver_ids(store) == [1, 2, 3, 4, 5, 6]
+    stream_silver(store, str(tmp_path / "another"), as_of=DAY[3])  # progress lost: batches get their old names again
+    assert silver_ids(store) == [1, 2, 3, 4, 5, 6]
+
+
+def test_a_silver_batch_that_is_lost_half_way_can_be_repeated(store, csv_file, monkeypatch):
+    land(csv_file, store, 1, 1, 2)
+    merge_landing(store)
+    bronze = store.read_bronze(lineage=True)
+
+    def lost(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        recorded = pipeline.cover
+        broken.setattr(pipeline, "cover", lambda s, files, last, part: (recorded if part == "whole" else lost)(s, files, last, part))
+        with pytest.raises(OSError, match="lost"):
+            add_to_silver(store, bronze, "batch-0")
+    assert add_to_silver(store, bronze, "batch-0")
+    assert silver_ids(store) == [1, 2]
+    assert add_to_silver(store, bronze, "batch-0")  # the same batch once more takes its own place
+    assert silver_ids(store) == [1, 2]
+    assert not add_to_silver(store, bronze, "batch-1")
+    with pytest.raises(ValueError, match="landing file"):
+        add_to_silver(store, store.read_bronze(), "batch-2")
+
+
+def test_a_failed_build_has_to_be_repeated_before_batches(store, csv_file, monkeypatch):
+    land(csv_file, store, 1, 1)
+    merge_landing(store)
+
+    def lost(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline, "cover", lost)
+        with pytest.raises(OSError, match="lost"):
+            build_silver(store)
+    with pytest.raises(ValueError, match="build_silver"):
+        add_to_silver(store, store.read_bronze(lineage=True), "batch-0")
+    build_silver(store)
+    assert not add_to_silver(store, store.read_bronze(lineage=True), "batch-0")
+
+
+def test_new_names_of_a_batch_get_ids_behind_the_known_ones(store, csv_file):
+    csv_file(_file(store, 1), {"Transaction_ID": 1, "Product_Brand": "M", "products": "z"})
+    merge_landing(store)
+    add_to_silver(store, store.read_bronze(lineage=True), "batch-0", as_of=DAY[0])
+    csv_file(_file(store, 2), {"Transaction_ID": 2, "Product_Brand": "A", "products": "a"}, {"Transaction_ID": 3, "Product_Brand": None, "products": None})
+    merge_landing(store, only_new=True)
+    add_to_silver(store, store.read_bronze(lineage=True), "batch-1", as_of=DAY[1])
+    assert rows(store.read_silver("brand")) == [(1, "M"), (2, "A")]
+    products = store.read_silver("products").select("Product_ID", "Product_Name", "Brand_ID", "Created_Date")
+    assert sorted(map(tuple, products.collect())) == [(1, "z", 1, DAY[0]), (2, None, None, DAY[1]), (3, "a", 2, DAY[1])]
+
+
+def _file(store, number):
+    os.makedirs(store.landing, exist_ok=True)
+    return Path(store.landing) / f"retail_data_{number}.csv"
