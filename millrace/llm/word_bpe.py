@@ -32,12 +32,12 @@ LEXICON_WORDS = 1 << 18
 WORD_BYTES = 64
 #: Steps a doubling of the count is divided into where the least count of a frequent word is chosen.
 COUNT_STEPS = 8
-#: Bytes of text that are encoded at once.
-TEXT_BYTES = 8 << 20
+#: Bytes of text that are encoded at once; what a task holds for a slice grows with it, the ids do not depend on it.
+TEXT_BYTES = 2 << 20
 #: Bytes of a word from which on it is merged for itself, with a heap of pairs.
 LONG = 64
-#: Letters that are merged at once.
-MERGED_LETTERS = 1 << 20
+#: Letters that are merged at once; each matrix of a round holds about as many cells.
+MERGED_LETTERS = 1 << 18
 
 _NONE = 1 << 30
 _SETTLED = re.compile("[^\x00-\u02ff]").search

@@ -243,3 +243,15 @@ def test_automaton_is_minimal_and_numbers_words(tmp_path):
     assert len(held.final) == len({frozenset(f) for f in futures.values()})
     empty = word_bpe.Automaton.compile([], [])
     assert empty.find(pa.array([b"a"], pa.binary())).tolist() == [-1]
+
+
+def test_word_bpe_encodes_a_few_mb_of_text_at_once():
+    import pyarrow as pa
+
+    texts = [f"w{i} " * 50_000 for i in range(40)] + ["z" * (3 << 20), "tail"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(word_bpe._slices(batch))
+    assert sum(p.num_rows for p in parts) == len(texts)
+    held = [sum(map(len, p.column(1).to_pylist())) for p in parts]
+    assert all(size <= 2 << 20 for size, p in zip(held, parts, strict=True) if p.num_rows > 1)
+    assert (3 << 20) in held
