@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.registry import LANDING_PATTERN
 from millrace.sources.landing import stream_reader
@@ -31,7 +32,7 @@ def stream_landing(
     records = stream_reader(store.spark, landing or store.landing, files_per_batch, pattern)
     known = merged_files(store, stream=False)
     if not known.isEmpty():
-        records = records.join(known, LINEAGE, "left_anti").select(records.columns)
+        records = unmerged(records, known)
     query = (
         records.writeStream.format("parquet")
         .option("path", store.bronze_stream)
@@ -41,3 +42,9 @@ def stream_landing(
     )
     query.awaitTermination()
     return store.read_bronze()
+
+
+def unmerged(records: DataFrame, known: DataFrame) -> DataFrame:
+    """The records of files not in `known`, one path per merged file. A stream isn't planned anew by its
+    sizes, and Spark sizes `known` by all of bronze: without the hint the records would be shuffled."""
+    return records.join(F.broadcast(known), LINEAGE, "left_anti").select(records.columns)

@@ -143,3 +143,20 @@ def test_a_short_bronze_shows(spark, csv_file, tmp_path):
     for bronze, status in ((merged, "complete"), (merged.limit(2), "short"), (merged.union(merged), "over")):
         got = reconcile(manifest, bronze).collect()
         assert [(r.files, r.landing_rows, r.bronze_rows, r.status) for r in got] == [(2, 3, bronze.count(), status)]
+
+
+def test_stream_leaves_out_merged_files_without_shuffling_the_records(spark):
+    from millrace.sources.tables import LINEAGE
+    from millrace.streaming.landing import unmerged
+
+    records = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], f"x long, {LINEAGE} string")
+    known = spark.createDataFrame([("a",)], f"{LINEAGE} string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = unmerged(records, known)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.x for r in kept.collect()) == [2, 3]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and kept.columns == records.columns
