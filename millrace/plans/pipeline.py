@@ -25,16 +25,17 @@ from millrace.sources.tables import LINEAGE, Store, write_all
 
 
 def merge_landing(
-    store: Store, landing: str | None = None, infer: bool = False, num_files: int | None = None, only_new: bool = False
+    store: Store, landing: str | None = None, infer: bool = False, num_files: int | None = None, only_new: bool = False,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Merge the landing CSV files into the bronze table and return it.
 
     A merge starts the batch part of bronze anew; with `only_new` it adds the files that no merge has
     held before. Files that a stream has merged are left out either way, so each file is in bronze once,
     in whatever order batches and streams run. A file is known by its path: one that is written
-    again under its old name is no new file.
+    again under its old name is no new file. `pattern` says which names are landing files.
     """
-    pattern = None if landing else LANDING_PATTERN
+    pattern = pattern or (None if landing else LANDING_PATTERN)
     records = read_pending(store, landing or store.landing, infer, pattern, batch=only_new, stream=True)
     store.write_bronze(records, num_files, append=only_new)
     return store.read_bronze()
@@ -151,13 +152,15 @@ def run_pipeline(
     infer: bool = False,
     key_type: str = "bigint",
     keep: bool = False,
+    pattern: str | None = None,
 ) -> DataFrame:
     """Landing files to gold below `base`; returns the row count of every gold table.
 
-    `keep` merges only new landing files and keeps ids and stamps of an earlier run.
+    `keep` merges only new landing files and keeps ids and stamps of an earlier run. `pattern` says which names are
+    landing files.
     """
     store = Store(spark, base)
-    merge_landing(store, landing, infer, only_new=keep)
+    merge_landing(store, landing, infer, only_new=keep, pattern=pattern)
     build_silver(store, mode, as_of, key_type, keep)
     counts: dict[str, int] = {}
     publish_gold(store, counts=counts)

@@ -24,7 +24,7 @@ from millrace.plans.lookups import build_lookups
 from millrace.plans.pipeline import merge_landing, run_pipeline
 from millrace.registry import AUDIT_COLUMNS, BY_NAME, BY_PATH, ENTITIES, LANDING_TYPES, LOOKUPS, TABLES
 from millrace.session import materialize, scratch_path
-from millrace.sources.landing import landing_manifest, read_landing, read_landing_checked, reconcile
+from millrace.sources.landing import PACKED_GLOB, landing_manifest, read_landing, read_landing_checked, reconcile
 from millrace.sources.star import retail_records
 from millrace.sources.tables import Store, write_csv
 from millrace.streaming.landing import stream_landing
@@ -85,10 +85,15 @@ def gold_entity(
     return store.read_gold(key)
 
 
+def _land(records: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Landing CSV files, packed: as plain text they would be most of what a query writes."""
+    write_csv(records, path, partition_by, packed=True)
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """The records as landing CSV files; returns their folder."""
     path = scratch_path(spark, "landing")
-    write_csv(retail_records(spark, sf_dir), path)
+    _land(retail_records(spark, sf_dir), path)
     return path
 
 
@@ -105,17 +110,17 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed_time(read_landing(spark, _landed(spark, sf_dir)))
+    return _typed_time(read_landing(spark, _landed(spark, sf_dir), pattern=PACKED_GLOB))
 
 
 def landing_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, scratch_path(spark, "merge"))
-    return _typed_time(merge_landing(store, _landed(spark, sf_dir)))
+    return _typed_time(merge_landing(store, _landed(spark, sf_dir), pattern=PACKED_GLOB))
 
 
 def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, scratch_path(spark, "stream"))
-    return _typed_time(stream_landing(store, scratch_path(spark, "progress"), _landed(spark, sf_dir)))
+    return _typed_time(stream_landing(store, scratch_path(spark, "progress"), _landed(spark, sf_dir), pattern=PACKED_GLOB))
 
 
 def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,20 +131,20 @@ def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same landing folders, merged and compared with bronze."""
     path, manifest = _batches(spark, sf_dir)
-    return reconcile(manifest, merge_landing(Store(spark, scratch_path(spark, "merge")), path))
+    return reconcile(manifest, merge_landing(Store(spark, scratch_path(spark, "merge")), path, pattern=PACKED_GLOB))
 
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     path = scratch_path(spark, "landing")
     records = retail_records(spark, sf_dir)
-    write_csv(records.withColumn("batch", F.col("Transaction_ID") % BATCHES + 1), path, partition_by="batch")
+    _land(records.withColumn("batch", F.col("Transaction_ID") % BATCHES + 1), path, partition_by="batch")
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"batch=(\d+)", 1)
-    return path, landing_manifest(spark, path, [str(i) for i in range(1, BATCHES + 2)], folder)
+    return path, landing_manifest(spark, path, [str(i) for i in range(1, BATCHES + 2)], folder, PACKED_GLOB)
 
 
 def gold_row_counts(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     """The whole pipeline, from landing CSV files to counted gold tables."""
-    return run_pipeline(spark, scratch_path(spark, "lakehouse"), _landed(spark, sf_dir), mode, _as_of())
+    return run_pipeline(spark, scratch_path(spark, "lakehouse"), _landed(spark, sf_dir), mode, _as_of(), pattern=PACKED_GLOB)
 
 
 def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,17 +200,17 @@ def landing_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, halves = Store(spark, scratch_path(spark, "both")), []
     for part in (half, ~half):
         halves.append(scratch_path(spark, "landing"))
-        write_csv(records.where(part), halves[-1])
-    merge_landing(store, halves[0])
-    return _typed_time(stream_landing(store, scratch_path(spark, "progress"), halves[1]))
+        _land(records.where(part), halves[-1])
+    merge_landing(store, halves[0], pattern=PACKED_GLOB)
+    return _typed_time(stream_landing(store, scratch_path(spark, "progress"), halves[1], pattern=PACKED_GLOB))
 
 
 def landing_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records from a landing folder with a folder for each day."""
     path = scratch_path(spark, "landing")
     days = (F.col("Transaction_ID") % BATCHES).cast("string")
-    write_csv(retail_records(spark, sf_dir).withColumn("day", days), path, partition_by="day")
-    return _typed_time(merge_landing(Store(spark, scratch_path(spark, "dated")), path))
+    _land(retail_records(spark, sf_dir).withColumn("day", days), path, partition_by="day")
+    return _typed_time(merge_landing(Store(spark, scratch_path(spark, "dated")), path, pattern=PACKED_GLOB))
 
 
 def landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,15 +218,15 @@ def landing_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, progress = scratch_path(spark, "landing"), scratch_path(spark, "progress")
     records, store = retail_records(spark, sf_dir), Store(spark, scratch_path(spark, "ledger"))
     steps = (
-        partial(merge_landing, store, path),
-        partial(stream_landing, store, progress, path),
-        partial(merge_landing, store, path, only_new=True),
+        partial(merge_landing, store, path, pattern=PACKED_GLOB),
+        partial(stream_landing, store, progress, path, pattern=PACKED_GLOB),
+        partial(merge_landing, store, path, only_new=True, pattern=PACKED_GLOB),
     )
     for part, step in enumerate(steps):
-        write_csv(records.where(F.col("Transaction_ID") % len(steps) == part), f"{path}/part={part}")
+        _land(records.where(F.col("Transaction_ID") % len(steps) == part), f"{path}/part={part}")
         step()
-    merge_landing(store, path)
-    return _typed_time(stream_landing(store, progress, path))
+    merge_landing(store, path, pattern=PACKED_GLOB)
+    return _typed_time(stream_landing(store, progress, path, pattern=PACKED_GLOB))
 
 
 def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,8 +234,8 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, number = scratch_path(spark, "landing"), F.col("Transaction_ID")
     age = F.when(number % 50 == 0, F.lit("forty")).otherwise(F.col("Age").cast("string"))
     amount = F.when(number % 35 == 0, F.lit("1,5")).otherwise(F.col("Total_Amount").cast("string"))
-    write_csv(retail_records(spark, sf_dir).withColumn("Age", age).withColumn("Total_Amount", amount), path)
-    records, rejects = read_landing_checked(spark, path)
+    _land(retail_records(spark, sf_dir).withColumn("Age", age).withColumn("Total_Amount", amount), path)
+    records, rejects = read_landing_checked(spark, path, PACKED_GLOB)
     kinds = records.select(F.lit("record").alias("kind")).union(rejects.select("reason"))
     return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
@@ -260,8 +265,8 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, path = scratch_path(spark, "lakehouse"), scratch_path(spark, "landing")
     records = retail_records(spark, sf_dir)
     for part in range(2):
-        write_csv(records.where(F.col("Transaction_ID") % 2 == part), f"{path}/part={part}")
-        counts = run_pipeline(spark, base, path, BY_PATH, _as_of(month=part + 1), keep=True)
+        _land(records.where(F.col("Transaction_ID") % 2 == part), f"{path}/part={part}")
+        counts = run_pipeline(spark, base, path, BY_PATH, _as_of(month=part + 1), keep=True, pattern=PACKED_GLOB)
     return counts
 
 
@@ -269,9 +274,12 @@ def silver_incremental(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     """A core table built by two silver streams: half of the records landed as a batch, then the others as a stream."""
     path, progress = scratch_path(spark, "landing"), scratch_path(spark, "progress")
     records, store = retail_records(spark, sf_dir), Store(spark, scratch_path(spark, "lakehouse"))
-    steps = (partial(merge_landing, store, path), partial(stream_landing, store, f"{progress}/landing", path))
+    steps = (
+        partial(merge_landing, store, path, pattern=PACKED_GLOB),
+        partial(stream_landing, store, f"{progress}/landing", path, pattern=PACKED_GLOB),
+    )
     for part, step in enumerate(steps):
-        write_csv(records.where(F.col("Transaction_ID") % len(steps) == part), f"{path}/part={part}")
+        _land(records.where(F.col("Transaction_ID") % len(steps) == part), f"{path}/part={part}")
         step()
         stream_silver(store, f"{progress}/silver", as_of=_as_of(month=part + 1))
     return store.read_silver(key)

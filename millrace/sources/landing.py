@@ -16,6 +16,9 @@ from millrace.sources.tables import LINEAGE
 #: Files that are read from a folder, at any depth; what else lies there is left alone.
 LANDING_GLOB = "*.csv"
 
+#: The pattern for files that `write_csv` packed.
+PACKED_GLOB = "*.csv.gz"
+
 
 def _options(pattern: str | None) -> dict[str, str]:
     """How landing files are found and read, the same for headers, batches and streams."""
@@ -110,6 +113,7 @@ def landing_manifest(
     path: str,
     expected: Sequence[str] = LANDING_FILES,
     label: Column | None = None,
+    pattern: str | None = None,
 ) -> DataFrame:
     """(source, rows, status) for every expected or found landing file.
 
@@ -117,9 +121,9 @@ def landing_manifest(
     names a source from the file metadata; the default is the file name.
     Records are counted without parsing any column, whatever the header says,
     and files are found through a listing, so a file without records is `empty`
-    rather than `missing`.
+    rather than `missing`. `pattern` says which names are landing files.
     """
-    options = {key: value for key, value in _options(None).items() if key != "enforceSchema"}
+    options = {key: value for key, value in _options(pattern).items() if key != "enforceSchema"}
     listing = spark.read.format("binaryFile").options(**options).load(path)
     names = F.col("_metadata.file_name") if label is None else label
     found = listing.select(names.alias("source")).distinct().withColumn("found", F.lit(True))

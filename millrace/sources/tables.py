@@ -19,6 +19,9 @@ _WRITES_AT_ONCE = 8
 #: Column of bronze that names the landing file of a record.
 LINEAGE = "_landing_file"
 
+#: Records of a packed CSV file at most. One task reads such a file, as gzip can't be split: some 100 MB of text.
+PACKED_RECORDS = 1 << 19
+
 #: Folder of silver that says which landing files its core tables cover.
 COVERED = "covered_files"
 
@@ -138,9 +141,11 @@ class Store:
         self.replace(self.gold(key), df)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """CSV files with a header line and no index column."""
+def write_csv(df: DataFrame, path: str, partition_by: str | None = None, packed: bool = False) -> None:
+    """CSV files with a header line and no index column; `packed` makes them gzip files (`.csv.gz`) of bounded length."""
     writer = df.write.mode("overwrite").option("header", True)
+    if packed:
+        writer = writer.options(compression="gzip", maxRecordsPerFile=PACKED_RECORDS)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.csv(path)

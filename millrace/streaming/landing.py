@@ -15,7 +15,7 @@ FILES_PER_BATCH = 1000
 
 
 def stream_landing(
-    store: Store, progress: str, landing: str | None = None, files_per_batch: int = FILES_PER_BATCH
+    store: Store, progress: str, landing: str | None = None, files_per_batch: int = FILES_PER_BATCH, pattern: str | None = None
 ) -> DataFrame:
     """Merge the landing files not merged before into bronze, each exactly once, then stop.
 
@@ -26,9 +26,9 @@ def stream_landing(
     not at the same time. Records are independent here, so the stream keeps no
     state and a run costs only the files that are new. A backlog is worked off
     in batches of `files_per_batch`, each committed on its own, so a run that is
-    interrupted resumes after the last finished batch.
+    interrupted resumes after the last finished batch. `pattern` says which names are landing files.
     """
-    pattern = None if landing else LANDING_PATTERN
+    pattern = pattern or (None if landing else LANDING_PATTERN)
     records = stream_reader(store.spark, landing or store.landing, files_per_batch, pattern)
     known = merged_files(store, stream=False)
     if not known.isEmpty():

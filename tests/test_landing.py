@@ -2,9 +2,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.plans.pipeline import merge_landing
+from millrace.plans import queries
+from millrace.plans.pipeline import merge_landing, run_pipeline
 from millrace.registry import LANDING_TYPES
-from millrace.sources.landing import landing_manifest, landing_schema, read_landing, reconcile
+from millrace.sources import tables
+from millrace.sources.landing import PACKED_GLOB, landing_manifest, landing_schema, read_landing, read_landing_checked, reconcile
 from millrace.sources.tables import Store, write_csv
 from millrace.streaming.landing import stream_landing
 
@@ -86,6 +88,39 @@ def test_csv_sink_has_a_header_and_no_index(spark, tmp_path, records):
     assert rows(read_landing(spark, str(tmp_path / "out"))) == rows(df)
 
 
+def test_packed_files_are_bounded_and_read_in_every_way(spark, tmp_path, records, monkeypatch):
+    monkeypatch.setattr(tables, "PACKED_RECORDS", 2)
+    df = records(*[{"Transaction_ID": float(i), "Income": None, "Name": 'Quo"te, \u00e9'} for i in range(7)]).coalesce(1)
+    folder = str(tmp_path / "in")
+    write_csv(df, folder, packed=True)
+    assert len(list((tmp_path / "in").glob("*.csv.gz"))) == 4 and not list((tmp_path / "in").glob("*.csv"))
+    assert rows(read_landing(spark, folder, pattern=PACKED_GLOB)) == rows(df)
+    assert rows(read_landing_checked(spark, folder, PACKED_GLOB)[0]) == rows(df)
+    store = Store(spark, str(tmp_path / "base"))
+    assert rows(merge_landing(store, folder, pattern=PACKED_GLOB)) == rows(df)
+    write_csv(records({"Transaction_ID": 7.0}).coalesce(1), f"{folder}/later", packed=True)
+    both = stream_landing(store, str(tmp_path / "progress"), folder, pattern=PACKED_GLOB)
+    assert both.count() == 8 and merge_landing(store, folder, only_new=True, pattern=PACKED_GLOB).count() == 8
+    manifest = landing_manifest(spark, folder, [], pattern=PACKED_GLOB)
+    assert manifest.count() == 5 and reconcile(manifest, both).first().status == "complete"
+    counts = run_pipeline(spark, str(tmp_path / "lake"), folder, pattern=PACKED_GLOB)
+    assert dict(counts.collect())["transactions"] == 8
+    assert landing_manifest(spark, folder, []).count() == 0  # left alone unless asked for
+
+
+@pytest.mark.parametrize("name", [
+    "csv_roundtrip", "landing_stream", "landing_batch_then_stream", "landing_partitioned", "landing_ledger", "landing_rejects",
+    "landing_manifest", "gold_row_counts_keyed",
+])
+def test_queries_land_packed_files_only(spark, tmp_path, records, monkeypatch, name):
+    places = iter(range(100))
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label="stage": str(tmp_path / f"{label}-{next(places)}"))
+    monkeypatch.setattr(queries, "retail_records", lambda spark, sf_dir: records(*[{"Transaction_ID": float(i)} for i in range(1, 13)]))
+    assert queries.QUERIES[name](spark, "").count() > 0
+    landed = [p.name for p in tmp_path.glob("landing-*/**/part-*")]
+    assert landed and all(x.endswith(".csv.gz") for x in landed)
+
+
 def test_stream_merges_each_file_once(spark, tmp_path, csv_file):
     landing, store = tmp_path / "in", Store(spark, str(tmp_path / "base"))
     landing.mkdir()
