@@ -10,6 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Codec of the tables of the lakehouse: about a quarter smaller than Spark's default, and no slower.
+TABLE_CODEC = "zstd"
+
 # Names the scratch folder of the run under way; Spark hands it on to threads that inherit from this one.
 _RUN = "millrace.scratch"
 
@@ -101,13 +104,13 @@ def scratch_path(spark: SparkSession, label: str = "stage") -> str:
     return f"{base.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write `df` to scratch and read it back.
+def materialize(df: DataFrame, label: str = "stage", codec: str | None = None) -> DataFrame:
+    """Write `df` to scratch, by a codec of Parquet's other than the session's if given, and read it back.
 
     Cuts the lineage on reliable storage, so values that depend on task layout
     are fixed once and survive the loss of executors, while later readers keep
     column pruning and true file sizes.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.registry import LANDING_FILES, LANDING_TYPES
-from millrace.session import materialize
+from millrace.session import TABLE_CODEC, materialize
 from millrace.sources.tables import LINEAGE
 
 
@@ -86,7 +86,7 @@ def read_landing_checked(spark: SparkSession, path: str, pattern: str | None = N
     schema = landing_schema(spark, path, pattern)
     whole = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     reader = spark.read.options(**_options(pattern)).option("columnNameOfCorruptRecord", _CORRUPT)
-    parsed = materialize(reader.schema(whole).csv(path).withColumn(LINEAGE, F.col("_metadata.file_path")), "landing")
+    parsed = materialize(reader.schema(whole).csv(path).withColumn(LINEAGE, F.col("_metadata.file_path")), "landing", TABLE_CODEC)
     texts = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema.fields), T.StructField(_CORRUPT, T.StringType())])
     fields = F.from_csv(_CORRUPT, texts.simpleString()[7:-1].replace(":", " ").replace("State/Province", "`State/Province`"),
                         {"columnNameOfCorruptRecord": _CORRUPT})

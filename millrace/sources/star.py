@@ -29,6 +29,7 @@ def retail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Customers and orders are joined before the lines, so the wide customer
     columns are moved once per order and meet the lines only in the last join.
+    Of a part only what the record needs goes along, without its key and size.
     City and product type names are made to repeat across their parents, and
     some incomes, payment and shipping methods are NULL.
     """
@@ -39,11 +40,12 @@ def retail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     buyers = customer.join(places, customer.c_nationkey == places.n_nationkey)
     placed = order.join(buyers, order.o_custkey == buyers.c_custkey)
     line = spread(line, "l_orderkey")
+    part = part.withColumn("shelf", F.col("p_size") % 5)
+    part = part.withColumn("misc", (F.col("shelf") == 0) & (F.col("p_partkey") % 2 == 0)).drop("p_size")
     items = line.join(part, line.l_partkey == part.p_partkey)
     joined = items.join(placed, items.l_orderkey == placed.o_orderkey)
 
     balance = F.col("c_acctbal")
-    shelf = F.col("p_size") % 5
     values = {
         "Transaction_ID": F.col("l_orderkey"),
         "Customer_ID": F.col("c_custkey"),
@@ -66,9 +68,9 @@ def retail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Time": F.col("l_shipdate"),
         "Total_Purchases": F.col("l_quantity"),
         "Total_Amount": F.col("l_extendedprice"),
-        "Product_Category": F.when((shelf == 0) & (F.col("p_partkey") % 2 == 0), "MISC").otherwise(F.col("p_type")),
+        "Product_Category": F.when(F.col("misc"), "MISC").otherwise(F.col("p_type")),
         "Product_Brand": F.col("p_brand"),
-        "Product_Type": F.concat_ws("-", "p_type", shelf.cast("string")),
+        "Product_Type": F.concat_ws("-", "p_type", F.col("shelf").cast("string")),
         "Shipping_Method": F.nullif("l_returnflag", F.lit("N")),
         "Payment_Method": F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")),
         "Order_Status": F.col("o_orderstatus"),

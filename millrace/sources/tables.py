@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.registry import BRONZE_PATH, GOLD_PATH, LANDING_PATH, LOOKUPS, SILVER_PATH, TABLES
-from millrace.session import remove
+from millrace.session import TABLE_CODEC, remove
 
 _WRITES_AT_ONCE = 8
 
@@ -87,7 +87,7 @@ class Store:
         run = uuid.uuid4().hex
         fresh, old = f"{folder}/_{name}.{run}.new", f"{folder}/_{name}.{run}.old"
         try:
-            df.write.parquet(fresh)
+            df.write.parquet(fresh, compression=TABLE_CODEC)
         except BaseException:
             remove(self.spark, fresh)
             raise
@@ -126,7 +126,7 @@ class Store:
         if num_files is not None:
             records = records.coalesce(num_files)
         if append:
-            records.write.mode("append").parquet(self.bronze)
+            records.write.mode("append").parquet(self.bronze, compression=TABLE_CODEC)
         else:
             self.replace(self.bronze, records)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.registry import LANDING_PATTERN
+from millrace.session import TABLE_CODEC
 from millrace.sources.landing import stream_reader
 from millrace.sources.ledger import merged_files
 from millrace.sources.tables import LINEAGE, Store
@@ -36,6 +37,7 @@ def stream_landing(
     query = (
         records.writeStream.format("parquet")
         .option("path", store.bronze_stream)
+        .option("compression", TABLE_CODEC)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.operators.keys import extend_key
 from millrace.plans.history import carry_stamps
 from millrace.plans.lookups import build_lookups
-from millrace.plans import pipeline
+from millrace.plans import history, pipeline
 from millrace.plans.pipeline import add_to_silver, build_silver, merge_landing
 from millrace.registry import ENTITIES
 from millrace.sources.landing import read_landing_checked
@@ -110,6 +110,58 @@ def test_stamps_change_only_with_their_rows(spark):
     assert carry_stamps(now.limit(0), before, "customers").count() == 0
 
 
+TRANSACTION = "Transaction_ID int, Customer_ID int, Transaction_DateTime string, Total_Amount double, Total_Purchases int, Shipping_Method_ID long, Payment_Method_ID long, Order_Status_ID long, Created_Date timestamp_ntz, Updated_Date timestamp_ntz"
+
+
+def transaction(number, time, amount, created, updated, method=None):
+    return (number, 7, time, amount, 0, method, 0, 1, DAY[created], DAY[updated])
+
+
+@pytest.mark.parametrize("evenly", [True, False])
+def test_stamps_of_odd_contents(spark, monkeypatch, evenly):
+    monkeypatch.setattr(history, "_spread_evenly", lambda *_: evenly)
+    nan, values = float("nan"), [(1, "", 1.5), (1, None, 1.5), (2, "x", float("nan")), (3, "x", None), (3, "x", 0.0), (None, None, None), (4, "y", 42.0)]
+    before = spark.createDataFrame(
+        [transaction(*v, i % 2, 2) for i, v in enumerate(values)] + [transaction(*values[0], 1, 1), transaction(4, "y", 42.0, 0, 1, 0)], TRANSACTION
+    )
+    now = [*values, *values[:2], (2, "x", 2.5), (3, None, 0.0), (None, "", None), (5, "", nan), (4, "y", 43.0)]
+    got = carry_stamps(spark.createDataFrame([transaction(*v, 3, 3) for v in now], TRANSACTION), before, "transactions")
+    found = sorted((str(r.Transaction_ID), str(r.Transaction_DateTime), str(r.Total_Amount), DAY.index(r.Created_Date), DAY.index(r.Updated_Date)) for r in got.collect())
+    first = {1: 0, 2: 0, 3: 0, 4: 0, None: 1}
+    kept = [(*v, i % 2, 2) for i, v in enumerate(values)]
+    new = [(*v, first.get(v[0], 3), 3) for v in now[9:]]
+    assert found == sorted((str(a), str(b), str(c), d, e) for a, b, c, d, e in [*kept, *kept[:2], *new])
+
+
+def test_rows_and_earlier_contents_are_moved_once(spark, monkeypatch):
+    monkeypatch.setattr(history, "_spread_evenly", lambda *_: True)
+    moves, write = {}, history.materialize
+
+    def watched(df, label, codec):
+        moves[label] = df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        return write(df, label, codec)
+
+    monkeypatch.setattr(history, "materialize", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = spark.createDataFrame([transaction(i, "x", i / 4, 0, 0) for i in range(20)], TRANSACTION)
+        now = spark.createDataFrame([transaction(i, "x", i / 4, 1, 1) for i in range(40)], TRANSACTION)
+        got = rows(carry_stamps(now, before, "transactions").select("Transaction_ID", "Created_Date"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moves["carried"] == 2  # the rows, and the contents as they are grouped
+    assert sorted(got) == [(i, DAY[int(i >= 20)]) for i in range(40)]
+
+
+def test_contents_that_many_rows_share_are_told(spark):
+    some = spark.createDataFrame([customer(i % 97, "a", 0, 0) for i in range(500)], CUSTOMER)
+    crowd = some.union(spark.createDataFrame([customer(None, None, 0, 0)] * 400, CUSTOMER))
+    content = [c for c in some.columns if c not in ("Created_Date", "Updated_Date")]
+    assert history._spread_evenly(some, some, content) and not history._spread_evenly(crowd, some, content)
+    assert not history._spread_evenly(some, some.withColumn("Age", F.col("Age").cast("long")), content)
+    assert history._spread_evenly(some.limit(0), some, content)
+
+
 def test_silver_keeps_ids_and_stamps(store, csv_file):
     land(csv_file, store, 2, 5, 6)
     merge_landing(store)
